@@ -34,7 +34,7 @@ select l_orderkey as pos,
  case when l_linenumber = 3 then 'n/a' else cast(l_quantity + 5 as string) end as highway_fuel_economy,
  cast(l_extendedprice as string) as horsepower,
  cast(l_discount as string) as latitude,
- cast(-l_tax as string) as longitude,
+ cast(0 - l_tax as string) as longitude,
  case when l_linenumber % 2 = 0 then 'True' else 'False' end as is_new,
  cast(null as string) as is_certified
 from lineitem join part on l_partkey = p_partkey

@@ -22,7 +22,9 @@ def linear(a: Column, b: Column, scale: float, offset: float = 0.0,
     ``offset + 2 * scale`` on; ``missing`` when a side is null."""
     d = F.abs(a.cast("double") - b.cast("double"))
     line = 1.0 - (d - F.lit(float(offset))) / F.lit(2.0 * scale)
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), line)), F.lit(float(missing)))
+    # greatest() and least() skip nulls, so a missing side has to be settled first.
+    return F.when(d.isNull(), F.lit(float(missing))).otherwise(
+        F.greatest(F.lit(0.0), F.least(F.lit(1.0), line)))
 
 
 def jaro_winkler_arrays(left: list[str], right: list[str], prefix_weight: float = 0.1,
