@@ -46,7 +46,7 @@ from mergewright.schema import (
     SOURCE_A,
     SOURCE_B,
 )
-from mergewright.sources import scan_text, scan_typed, stage, write_csv, write_splits
+from mergewright.sources import scan_text, scan_typed, spread, stage, write_csv, write_splits
 from mergewright.sources.staging import new_path
 
 # Order of the rows of either source: the position, ties by id.
@@ -64,7 +64,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def raw_a(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql(RAW_A.replace("from lineitem join part", "from {lineitem} join {part}"),
-                     lineitem=table(spark, folder, "lineitem"), part=table(spark, folder, "part"))
+                     lineitem=spread(table(spark, folder, "lineitem"), "l_orderkey"),
+                     part=table(spark, folder, "part"))
 
 
 def raw_b(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,14 +144,14 @@ def to_number_query(spark, folder):
 
 def on_documents(function):
     def query(spark, folder):
-        return table(spark, folder, "documents").select(
+        return spread(table(spark, folder, "documents"), "doc_id").select(
             "doc_id", function(F.col("text")).alias("normal"))
     return query
 
 
 def on_pages(function):
     def query(spark, folder):
-        return table(spark, folder, "pages").select(
+        return spread(table(spark, folder, "pages"), "page_id").select(
             "page_id", function(F.col("url")).alias("url"), function(F.col("html")).alias("html"))
     return query
 
@@ -297,7 +298,8 @@ def numeric_stats(spark, folder):
 
 
 def describe_numeric(spark, folder):
-    stats = quantiles.describe_numeric(table(spark, folder, "lineitem"))
+    stats = quantiles.describe_numeric(
+        spread(table(spark, folder, "lineitem"), "l_orderkey"))
     return rounded(stats, "mean", "std", "min", "max", "q25", "q50", "q75")
 
 

@@ -61,7 +61,15 @@ def norm_linker(c: Column) -> Column:
     return F.nullif(strip_space(F.lower(x)), F.lit(""))
 
 
+def vin_characters(c: Column) -> Column:
+    """Letters and digits of ``c`` in upper case."""
+    return F.upper(F.regexp_replace(c, "[^A-Za-z0-9]", ""))
+
+
+VIN_LENGTH = 17
+
+
 def clean_vin(c: Column) -> Column:
     """Letters and digits only, upper case; valid only at exactly 17 characters."""
-    x = F.upper(F.regexp_replace(c, "[^A-Za-z0-9]", ""))
-    return F.when(F.length(x) == 17, x)
+    x = vin_characters(c)
+    return F.when(F.length(x) == VIN_LENGTH, x)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mergewright.functions.text import clean_vin
+from mergewright.functions.text import VIN_LENGTH, vin_characters
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -27,7 +27,9 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def one_per_vin(df: DataFrame, order: Sequence[str], keep: str = "first") -> DataFrame:
     """Rows with a valid cleaned VIN, one per VIN; adds ``vin_clean``."""
-    valid = df.withColumn("vin_clean", clean_vin(F.col("vin"))).dropna(subset=["vin_clean"])
+    # Filter and projection are evaluated apart; this asks for one pattern match in each.
+    characters = vin_characters(F.col("vin"))
+    valid = df.filter(F.length(characters) == VIN_LENGTH).withColumn("vin_clean", characters)
     return one_per_key(valid, ["vin_clean"], order, keep)
 
 

@@ -28,30 +28,32 @@ class Band(NamedTuple):
 
 
 def _narrow(slim: DataFrame, bands: dict, found: dict, gather: int, accuracy: int) -> dict:
-    """One round: settle small bands, replace each large one by the ends around its rank."""
-    keys = list(bands)
+    """One round: settle small bands, replace each large one by the ends around its ranks.
+
+    A band belongs to a column and one or two neighbouring ranks.
+    """
     looks = []
-    for j, (c, rank) in enumerate(keys):
-        band = bands[c, rank]
+    for j, ((c, ranks), band) in enumerate(bands.items()):
         held = band.hold(F.col(c))
         if band.inside <= gather:
             looks.append(F.sort_array(F.collect_list(held)).alias(f"v{j}"))
         else:
-            share = (rank - band.below) / band.inside
-            ends = [max(0.0, share - 2 / accuracy), min(1.0, share + 2 / accuracy)]
+            shares = [(r - band.below) / band.inside for r in (ranks[0], ranks[-1])]
+            ends = [max(0.0, shares[0] - 2 / accuracy), min(1.0, shares[1] + 2 / accuracy)]
             looks.append(F.percentile_approx(held, ends, accuracy).alias(f"v{j}"))
     seen = slim.agg(*looks).first()
-    ends = {}
-    for j, (c, rank) in enumerate(keys):
-        if bands[c, rank].inside <= gather:
-            found[c, rank] = seen[f"v{j}"][rank - bands[c, rank].below]
+    large = {}
+    for j, (key, band) in enumerate(bands.items()):
+        if band.inside <= gather:
+            for rank in key[1]:
+                found[key[0], rank] = seen[f"v{j}"][rank - band.below]
         else:
-            ends[c, rank] = seen[f"v{j}"]
-    if not ends:
+            large[key] = seen[f"v{j}"]
+    if not large:
         return {}
 
     counted = []
-    for j, ((c, _), (lo, hi)) in enumerate(ends.items()):
+    for j, ((c, _), (lo, hi)) in enumerate(large.items()):
         x, lo, hi = F.col(c), F.lit(lo), F.lit(hi)
         inner = F.when((x > lo) & (x < hi), x)
         counted += [F.count_if(x < lo).alias(f"below{j}"), F.count_if(x == lo).alias(f"lo{j}"),
@@ -59,30 +61,32 @@ def _narrow(slim: DataFrame, bands: dict, found: dict, gather: int, accuracy: in
                     F.min(inner).alias(f"min{j}"), F.max(inner).alias(f"max{j}")]
     n = slim.agg(*counted).first()
     rest = {}
-    for j, ((c, rank), (lo, hi)) in enumerate(ends.items()):
+    for j, ((c, ranks), (lo, hi)) in enumerate(large.items()):
         at_inner = n[f"below{j}"] + n[f"lo{j}"]
         at_hi = at_inner + n[f"inner{j}"]
-        if not n[f"below{j}"] <= rank < at_hi + n[f"hi{j}"]:
-            raise RuntimeError(f"the quantile band of {c} does not hold rank {rank}")
-        if rank < at_inner:
-            found[c, rank] = lo
-        elif rank >= at_hi:
-            found[c, rank] = hi
-        else:
-            # The ends, which may be repeated many times, are settled; go on between them.
-            rest[c, rank] = Band(n[f"min{j}"], n[f"max{j}"], at_inner, n[f"inner{j}"])
+        if not n[f"below{j}"] <= ranks[0] <= ranks[-1] < at_hi + n[f"hi{j}"]:
+            raise RuntimeError(f"the quantile band of {c} does not hold the ranks {ranks}")
+        for rank in ranks:
+            if rank < at_inner:
+                found[c, rank] = lo
+            elif rank >= at_hi:
+                found[c, rank] = hi
+        # The ends, which may be repeated many times, are settled; go on between them.
+        inner = tuple(r for r in ranks if at_inner <= r < at_hi)
+        if inner:
+            rest[c, inner] = Band(n[f"min{j}"], n[f"max{j}"], at_inner, n[f"inner{j}"])
     return rest
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-                    gather: int = 10_000, accuracy: int = 10_000) -> dict[str, list[float | None]]:
+                    gather: int = 10_000, accuracy: int = 2_000) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation between neighbouring values.
 
-    Each wanted rank is held in a band of values, narrowed about a
-    thousandfold per round by approximate quantiles, whose error is bounded,
-    and exact counts. All passes are plain partial aggregations over the
-    columns asked for. A band with at most ``gather`` rows is listed, which
-    bounds the largest array ever built.
+    Each wanted rank is held in a band of values, narrowed some hundredfold
+    per round by approximate quantiles, whose error is bounded, and exact
+    counts. All passes are plain partial aggregations over the columns asked
+    for. A band with at most ``gather`` rows is listed, which bounds the
+    largest array ever built.
     """
     slim = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
     base = slim.agg(*[e for i, c in enumerate(columns) for e in (
@@ -90,9 +94,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
         F.max(f"`{c}`").alias(f"hi{i}"))]).first()
     places = {c: [p * (base[f"n{i}"] - 1) for p in probabilities] if base[f"n{i}"] else []
               for i, c in enumerate(columns)}
-    bands = {(c, rank): Band(base[f"lo{i}"], base[f"hi{i}"], 0, base[f"n{i}"])
-             for i, c in enumerate(columns) for at in places[c]
-             for rank in (math.floor(at), math.ceil(at))}
+    bands = {(c, tuple(sorted({math.floor(at), math.ceil(at)}))):
+             Band(base[f"lo{i}"], base[f"hi{i}"], 0, base[f"n{i}"])
+             for i, c in enumerate(columns) for at in places[c]}
     found: dict[tuple[str, int], float] = {}
     while bands:
         bands = _narrow(slim, bands, found, gather, accuracy)

@@ -45,3 +45,13 @@ def require_columns(df: DataFrame, columns: Iterable[str], what: str = "input")
     if absent:
         raise ValueError(f"{what} lacks the columns {', '.join(absent)}")
     return df
+
+
+def spread(df: DataFrame, by: str) -> DataFrame:
+    """Spread a scan over the cores when its files give fewer splits than that.
+
+    A file of one row group is read by one task, and everything up to the next
+    shuffle would run in it. A scan of many files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
