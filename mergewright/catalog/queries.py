@@ -46,7 +46,15 @@ from mergewright.schema import (
     SOURCE_A,
     SOURCE_B,
 )
-from mergewright.sources import scan_text, scan_typed, spread, stage, write_csv, write_splits
+from mergewright.sources import (
+    scan_text,
+    scan_typed,
+    spread,
+    stage,
+    write_csv,
+    write_json,
+    write_splits,
+)
 from mergewright.sources.staging import new_path
 
 # Order of the rows of either source: the position, ties by id.
@@ -485,13 +493,11 @@ def candidate_pairs(spark, folder):
 def linker_fit(spark, folder):
     records, links = linker_inputs(spark, folder)
     records, links = stage(records, "records"), stage(links, "links")
-    path = new_path(spark, "model")
-    fitted = models.load_or_fit(spark, path, lambda: linkage.fit_linker(records, links))
-    by_feature, intercept = models.weights(fitted)
-    examples = compare.join_records(sampling.training_pairs(records, links), records,
-                                    *candidates.COMPARED)
+    examples = write_json(linkage.labelled_examples(records, links), new_path(spark, "examples"))
+    fitted = models.load_or_fit(spark, new_path(spark, "model"),
+                                lambda: linkage.fit_linker(examples))
     features = compare.linker_features(examples, "id_A", "id_B", "label")
-    return models.predict(features, by_feature, intercept).select(
+    return models.predict(features, *models.weights(fitted)).select(
         "id_A", "id_B", "label", "prediction", F.round("score", 4).alias("score"))
 
 
