@@ -199,6 +199,9 @@ TABLES = {
 }
 
 
+COMPARED = ["model", "make", "year", "price", "mileage", "state"]
+
+
 def with_tables(select: str) -> str:
     """Put the common tables a statement needs in front of it, in order."""
     needed: set[str] = set()
@@ -271,7 +274,40 @@ def records(texts=None) -> str:
     return f"select source, {columns} from ({union}) where r = 1"
 
 
-def rates(truth: str, tables: str) -> str:
+def profile_tables() -> str:
+    """Profiles of the linker records with the keys of the two candidate rules."""
+    def step(c: str) -> str:
+        return f"case when {c} > 0 then floor(log10({c}) * 10) end"
+    return f"""select source, {', '.join(COMPARED)}, count(*) as copies, {step('price')} as price_log,
+        {step('mileage')} as mileage_log, substr(model, 1, 3) as model_first3,
+        round(mileage) as mileage_whole from ({records(texts=True)}) group by all"""
+
+
+TABLES["profiles"] = profile_tables()
+RULE_KEYS = [["model", "price_log", "mileage_log"], ["model_first3", "year", "mileage_whole"]]
+
+
+def met(i: int) -> str:
+    return " and ".join(f"a.{k} = b.{k}" for k in RULE_KEYS[i])
+
+
+def cost(i: int) -> str:
+    keys = ", ".join(RULE_KEYS[i])
+    whole = " and ".join(f"{k} is not null" for k in RULE_KEYS[i])
+    return f"""select {i} as rule, cast(sum(a * b) as bigint) as pairs,
+        cast(max(a * b) as bigint) as largest from (select count(*) filter (source = 'A') as a,
+        count(*) filter (source = 'B') as b from profiles where {whole} group by {keys})"""
+
+
+def candidate_rows() -> str:
+    columns = ", ".join(f"{s}.{c} as {c}_{s}" for c in COMPARED for s in ("A", "B"))
+    sides = "(select * from profiles where source = 'A') a join " \
+            "(select * from profiles where source = 'B') b"
+    return (f"select {columns} from {sides} on {met(0)} union all "
+            f"select {columns} from {sides} on {met(1)} where not coalesce({met(0)}, false)")
+
+
+def rates(tables: str) -> str:
     """Rates from a table of ``tp, fp, fn``."""
     return f"""select tp, fp, fn, round(p, 4) as precision, round(r, 4) as recall,
         round(case when p + r > 0 then 2 * p * r / (p + r) else 0 end, 4) as f1 from (
@@ -407,10 +443,10 @@ STATEMENTS: dict[str, str] = {
     "confusion": """select l.v as label, p.v as prediction, count(s.id_A) as n
         from (values (0), (1)) l(v) cross join (values (0), (1)) p(v)
         left join scored s on s.label = l.v and s.prediction = p.v group by all""",
-    "metrics_pairs": rates("", """select count(*) filter (label = 1 and prediction = 1) as tp,
+    "metrics_pairs": rates("""select count(*) filter (label = 1 and prediction = 1) as tp,
         count(*) filter (label = 0 and prediction = 1) as fp,
         count(*) filter (label = 1 and prediction = 0) as fn from scored"""),
-    "metrics_links": rates("", """select
+    "metrics_links": rates("""select
         (select count(*) from (select * from known intersect select * from predicted)) as tp,
         (select count(*) from (select * from predicted except select * from known)) as fp,
         (select count(*) from (select * from known except select * from predicted)) as fn"""),
@@ -426,6 +462,9 @@ STATEMENTS: dict[str, str] = {
         cast({log_distance('price')} is null as double) as price_missing,
         cast({log_distance('mileage')} is null as double) as mileage_missing,
         cast(state_A is null or state_B is null as double) as state_missing from linked_texts""",
+    "candidates": candidate_rows(),
+    "block_costs": f"{cost(0)} union all {cost(1)}",
+    "profile_copies": f"select source, copies, {', '.join(COMPARED)} from profiles",
     "one_to_one_round1": f"""select id_A, id_B, score from (
         select *, row_number() over (partition by id_A order by score desc, tie desc) as ra,
         row_number() over (partition by id_B order by score desc, tie desc) as rb from (

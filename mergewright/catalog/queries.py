@@ -482,14 +482,26 @@ FIXED_RULES = (candidates.Rule(("model_whole", "price_log", "mileage_log")),
                candidates.Rule(("model_first3", "year_whole", "mileage_whole")))
 
 
-def candidate_pairs(spark, folder):
+def all_profiles(spark, folder):
     records = stage(pairs.records_for_linker(mediate.drop_leakage(gt(spark, folder)).drop("label")),
                     "records")
-    profiles = stage(candidates.profiles(candidates.with_profile(records)), "profiles")
-    met = candidates.candidate_pairs(profiles, FIXED_RULES, *candidates.COMPARED)
+    return stage(candidates.profiles(candidates.with_profile(records)), "profiles")
+
+
+def candidate_pairs(spark, folder):
+    met = candidates.candidate_pairs(all_profiles(spark, folder), FIXED_RULES, *candidates.COMPARED)
     return met.select(*[F.col(f"{c}_{s}") for c in candidates.COMPARED for s in ("A", "B")])
 
 
+def block_costs(spark, folder):
+    costs = candidates.rule_costs(all_profiles(spark, folder), FIXED_RULES)
+    return costs.select("rule", *[F.col(c).cast("bigint").alias(c) for c in ("pairs", "largest")])
+
+
+def profile_copies(spark, folder):
+    return all_profiles(spark, folder).select("source", "copies", *candidates.COMPARED)
+
+
 def linker_fit(spark, folder):
     records, links = linker_inputs(spark, folder)
     records, links = stage(records, "records"), stage(links, "links")
@@ -589,6 +601,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "linker_features": linker_features,
     "linker_distances": linker_distances,
     "block_learn": block_learn,
+    "block_costs": block_costs,
+    "profile_copies": profile_copies,
     "candidates": candidate_pairs,
     "linker_fit": linker_fit,
     "one_to_one_round1": one_to_one_round1,
