@@ -373,8 +373,15 @@ def test_learned_rules_cover_the_matches(spark):
     learned = candidates.learn_blocking(records, links)
     assert learned.uncovered == 0 and sum(learned.covered) == learned.matches == len(known)
     assert set(known) <= brute_met(records, learned.rules)
-    strict = candidates.learn_blocking(records, links, max_block_pairs=1)
-    assert strict.uncovered + sum(strict.covered) == len(known)
+    # Costs estimated on a share of the records, limits still those of all records.
+    for limit in (1, 40):
+        near = candidates.learn_blocking(records, links, max_block_pairs=limit, estimate_rows=50)
+        assert near.uncovered + sum(near.covered) == len(known)
+        if near.rules:
+            costs = candidates.rule_costs(records, near.rules).collect()
+            assert all(r["largest"] <= limit for r in costs)
+            assert {near.rules[r["rule"]]: r["pairs"] for r in costs} == {
+                r: p for r, p in zip(near.rules, near.pairs) if p}
 
 
 def test_profiles_count_copies(spark):
