@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from mergewright.llm import exact_dedup, packing, records
+from mergewright.llm import exact_dedup, host_quality, packing, records, url_filter
 
 QUERIES = {
+    "op1_url_filters": url_filter.op1_url_filters,
     "op2_token_records": records.op2_token_records,
     "op3_packing": packing.op3_packing,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op7_host_quality": host_quality.op7_host_quality,
 }
 
 ORACLE = {
+    "op1_url_filters": url_filter.OP1_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
+    "op7_host_quality": host_quality.OP7_SQL,
 }
