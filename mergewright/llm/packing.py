@@ -113,7 +113,7 @@ def pack(docs: DataFrame, window: int = WINDOW, end_id: int = 1, path: str | Non
     def run(batches):
         from pyspark import TaskContext
 
-        encoder = common.worker_cache("encoder", lambda: tokens.Encoder(text.value))
+        encoder = tokens.worker_encoder(text.value)
         number = TaskContext.get().partitionId() << 33
         end = np.array([end_id], np.uint32)
         rests, held = [], 0

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from mergewright.llm import exact_dedup, host_quality, packing, records, url_filter
+from mergewright.llm import byte_bpe, exact_dedup, host_quality, language, packing, records, url_filter
 
 QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
     "op2_token_records": records.op2_token_records,
     "op3_packing": packing.op3_packing,
+    "op4_language": language.op4_language,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op7_host_quality": host_quality.op7_host_quality,
+    "op8_byte_bpe": byte_bpe.op8_byte_bpe,
 }
 
 ORACLE = {

@@ -104,7 +104,7 @@ def write_records(docs: DataFrame, end_id: int | None = 0, path: str | None = No
     def write(batches):
         from pyspark import TaskContext
 
-        encoder = common.worker_cache("encoder", lambda: tokens.Encoder(text.value))
+        encoder = tokens.worker_encoder(text.value)
         part = TaskContext.get().partitionId()
         store, base = opened(folder)
         store.create_dir(base, recursive=True)

@@ -11,6 +11,7 @@ encoded whole, since such runs do not fall apart at each blank.
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Sequence
 from itertools import repeat
 
@@ -18,6 +19,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from mergewright.llm import common
+
 #: White space as the pre-tokeniser sees it, and more to be safe.
 BLANK = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 WHOLE = BLANK + "{3}|" + BLANK + r"{2}\z|\x00"
@@ -150,6 +153,11 @@ class Encoder:
         return out  # type: ignore[return-value]
 
 
+def worker_encoder(text: str) -> Encoder:
+    """The worker's encoder for a definition."""
+    return common.worker_cache(f"encoder-{zlib.crc32(text.encode())}", lambda: Encoder(text))
+
+
 def default_path() -> str:
     import public_tokenizers
 
