@@ -38,7 +38,7 @@ from mergewright.sources.staging import new_path
 MASK = 0xA282EAD8
 FILE_BYTES = 256 << 20
 INDEX = ("part long, file_no int, file string, doc_id long, offset long, length long, n_tokens long")
-READ = "file string, doc_id long, local_start long, n_tokens long, ids binary"
+READ = "doc_id long, start long, n_tokens long, ids binary"
 
 
 @dataclass(frozen=True)
@@ -152,22 +152,25 @@ def file_starts(index: DataFrame) -> DataFrame:
 
 
 def read_records(spark: SparkSession, records: RecordSet) -> DataFrame:
-    """Records of every listed file, streamed and checked: file, doc_id, ids before it in the file, ids (uint32)."""
+    """Records of every listed file, streamed and checked: doc_id, ids before it in all files, ids (uint32)."""
     folder = records.folder
-    files = read_index(spark, records).select("file").distinct()
+    files = file_starts(read_index(spark, records))
     tasks = max(1, min(files.count(), 100_000))
-    schema = pa.schema([("file", pa.string()), ("doc_id", pa.int64()), ("local_start", pa.int64()),
-                        ("n_tokens", pa.int64()), ("ids", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+
+    def as_batch(rows):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     def read(batches):
         store, base = opened(folder)
         for batch in batches:
-            for name in batch.column("file").to_pylist():
-                start, rows, held = 0, [], 0
+            for name, start in zip(*(batch.column(c).to_pylist() for c in ("file", "base")), strict=True):
+                rows, held = [], 0
                 with store.open_input_stream(f"{base}/{name}", buffer_size=1 << 20) as source:
                     for payload in unframe(source, name):
                         doc_id, ids = parse(payload)
-                        rows.append((name, doc_id, start, len(ids), ids.tobytes()))
+                        rows.append((doc_id, start, len(ids), ids.tobytes()))
                         start += len(ids)
                         held += len(payload)
                         if held > 4 << 20:
@@ -176,17 +179,10 @@ def read_records(spark: SparkSession, records: RecordSet) -> DataFrame:
                 if rows:
                     yield as_batch(rows)
 
-    def as_batch(rows):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
     return files.repartition(tasks).mapInArrow(read, READ)
 
 
 def op2_token_records(spark: SparkSession, folder: str) -> DataFrame:
     """Write all documents as records and give what the files hold: doc_id, start, n_tokens, ids_crc32."""
     records = write_records(common.table(spark, folder, "documents"), end_id=0)
-    base = file_starts(read_index(spark, records))
-    return (read_records(spark, records).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-            .join(base, "file")
-            .select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32"))
+    return read_records(spark, records).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
