@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -52,3 +52,19 @@ def slices(batch: pa.RecordBatch, column: str, budget: int = 8 << 20) -> Iterato
     for start, end in zip(edges, edges[1:], strict=False):
         if end > start:
             yield batch.slice(start, end - start)
+
+
+def bounded_sample(docs: DataFrame, keys: DataFrame, by: str, bound: int) -> DataFrame:
+    """(``by``, doc_id, text) of at most ``bound`` rows for each value of ``by``: the first by a hash of the id.
+
+    ``keys`` has doc_id and ``by``. The chosen ids are few (bound times values), so they are broadcast; a
+    second cut keeps the bound where many rows of ``docs`` share a chosen id. Ranking is
+    limited inside each task before anything is shuffled.
+    """
+    first = Window.partitionBy(by).orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = (keys.select(by, "doc_id").filter(F.col("doc_id").isNotNull()).distinct()
+              .withColumn("__n", F.row_number().over(first)).filter(F.col("__n") <= bound)
+              .select(by, F.col("doc_id").alias("__chosen")))
+    second = Window.partitionBy(by).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    return (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__chosen"))
+            .drop("__chosen").withColumn("__n", F.row_number().over(second)).filter(F.col("__n") <= bound).drop("__n"))

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mergewright.llm import common, ngrams
@@ -68,12 +68,9 @@ def count_vectors(docs: DataFrame, *keep: str) -> DataFrame:
 
 def learning_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """At most ``per_language`` learning rows of each language, the first by a hash of the id."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (docs.filter("lang is not null and text is not null").filter(~common.in_test_fold("doc_id"))
-              .select("lang", "doc_id").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
-              .select(F.col("lang").alias("label"), F.col("doc_id").alias("chosen")))
-    return docs.join(F.broadcast(chosen), (docs["doc_id"] == F.col("chosen")) & (docs["lang"] == F.col("label"))).select(
-        "label", "text")
+    learn = docs.filter("lang is not null and text is not null").filter(~common.in_test_fold("doc_id"))
+    return common.bounded_sample(learn.select("doc_id", "text"), learn.select(F.col("lang").alias("label"), "doc_id"),
+                                 "label", per_language)
 
 
 def spherical_means(vectors: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:

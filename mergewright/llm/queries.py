@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from mergewright.llm import byte_bpe, exact_dedup, host_quality, language, near_join, packing, records, url_filter
+from mergewright.llm import byte_bpe, exact_dedup, host_quality, language, near_join, packing, records, toxicity, url_filter
 
 QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op7_host_quality": host_quality.op7_host_quality,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_ngram_jaccard_join": near_join.op10_ngram_jaccard_join,
 }
 
