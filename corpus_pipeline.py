@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mergewright.llm import exact_dedup, packing
+from mergewright.llm import exact_dedup, near_join, packing, secrets, toxicity
 from mergewright.sources.staging import stage
 
 STAGES = [
+    ("toxicity", toxicity.toxicity_stage),
     ("exact dedup", exact_dedup.dedup_stage),
+    ("n-gram jaccard join", near_join.near_stage),
+    ("secret scans", secrets.secrets_stage),
     ("packing", packing.pack_stage),
 ]
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from mergewright.llm import byte_bpe, exact_dedup, host_quality, language, near_join, packing, records, toxicity, url_filter
+from mergewright.llm import byte_bpe, exact_dedup, host_quality, language, near_join, packing, records, secrets, toxicity, url_filter
 
 QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_packing": packing.op3_packing,
     "op4_language": language.op4_language,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_secret_scans": secrets.op6_secret_scans,
     "op7_host_quality": host_quality.op7_host_quality,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_toxicity": toxicity.op9_toxicity,
