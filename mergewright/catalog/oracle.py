@@ -37,7 +37,7 @@ def number(c: str) -> str:
 
 
 def year(c: str) -> str:
-    return f"cast(trunc({number(c)}) as integer)"
+    return f"case when {number(c)} = trunc({number(c)}) then cast({number(c)} as integer) end"
 
 
 def bin_of(c: str) -> str:
@@ -349,7 +349,12 @@ def merged(c: str) -> str:
 
 STATEMENTS: dict[str, str] = {
     "scan_text_na": f"select {', '.join(B_COLUMNS)} from null_b",
-    "scan_typed": "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders",
+    "scan_typed": "select * from orders",
+    "scan_inferred": "select o_orderkey, o_custkey, o_totalprice, o_orderstatus, o_orderpriority from orders",
+    "describe_nan": describe("(select case when o_orderkey % 7 = 0 then null else o_totalprice end as price "
+                             "from orders)", ["price"]),
+    "prepared_splits": "select id_A, id_B, label, split, 'b1' as strategy from split_b1 union all "
+                       "select id_A, id_B, label, split, 'b2' from split_b2",
     "sink_roundtrip": f"select {_med} from med_b",
     "sink_partitioned": "select 'b2' as strategy, split, label, count(*) as n from split_b2 group by all",
     "mediate_a": f"select {_med} from med_a",

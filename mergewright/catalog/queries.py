@@ -98,18 +98,23 @@ def fixed_scores(spark: SparkSession, folder: str) -> DataFrame:
 def scan_text_na(spark, folder):
     raw = raw_b(spark, folder).drop("pos")
     path = write_csv(raw, new_path(spark, "csv"))
-    return scan_text(spark, path, raw.columns)
+    return scan_text(spark, path, raw.columns, multiline=True)
 
 
 def scan_typed_orders(spark, folder):
-    orders = table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    orders = table(spark, folder, "orders")
     return scan_typed(spark, write_csv(orders, new_path(spark, "csv")), orders.schema)
 
 
+def scan_inferred(spark, folder):
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    return scan_typed(spark, write_csv(orders, new_path(spark, "csv")))
+
+
 def sink_roundtrip(spark, folder):
     b = mediated(spark, folder)[1].drop("pos")
-    return scan_typed(spark, write_csv(b, new_path(spark, "csv")), b.schema)
+    return scan_typed(spark, write_csv(b, new_path(spark, "csv")), b.schema, multiline=True)
 
 
 def sink_partitioned(spark, folder):
@@ -287,11 +292,11 @@ def profile_merge(spark, folder):
     orders = table(spark, folder, "orders")
     parts = stage(profile.partial_profile(
         orders, ["o_orderpriority", "o_orderstatus"],
-        ["o_custkey", "o_totalprice", "o_orderdate"]), "profiles")
-    exact_counts = profile.distinct_counts(orders, ["o_custkey", "o_totalprice", "o_orderdate"])
+        ["o_custkey", "o_totalprice"]), "profiles")
+    exact_counts = profile.distinct_counts(orders, ["o_custkey", "o_totalprice"])
     whole = profile.merge_profiles(parts).withColumnRenamed("unique_count", "near")
     close = F.abs(F.col("near") - F.col("unique_count")) <= 0.05 * F.col("unique_count")
-    return whole.join(exact_counts, "attribute").filter(F.col("attribute") != "o_orderdate").select(
+    return whole.join(exact_counts, "attribute").select(
         "attribute", "missing_count", "count", *[F.round(c, 3).alias(c) for c in (
             "mean", "std", "min", "max")], close.alias("within_bound"))
 
@@ -311,6 +316,12 @@ def describe_numeric(spark, folder):
     return rounded(stats, "mean", "std", "min", "max", "q25", "q50", "q75")
 
 
+def describe_nan(spark, folder):
+    price = F.when(F.col("o_orderkey") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice"))
+    stats = quantiles.describe_numeric(table(spark, folder, "orders").select(price.cast("double").alias("price")))
+    return rounded(stats, "mean", "std", "min", "max", "q25", "q50", "q75")
+
+
 def table_shape(spark, folder):
     return profile.table_shape(raw_b(spark, folder))
 
@@ -341,6 +352,12 @@ def split_sizes(spark, folder):
         split_of(spark, folder, B2)))
 
 
+def prepared_splits(spark, folder):
+    a, b = mediated(spark, folder)
+    path = labelling.prepare_splits(a, b, new_path(spark, "prepared"), order=ORDER)
+    return spark.read.parquet(path).select("id_A", "id_B", "label", "split", "strategy")
+
+
 def linker_inputs(spark, folder):
     """Linker records and known links behind the training pairs."""
     train = stage(split_of(spark, folder).filter(F.col("split") == "train"), "train")
@@ -536,6 +553,7 @@ def link_join(spark, folder):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_text_na": scan_text_na,
     "scan_typed": scan_typed_orders,
+    "scan_inferred": scan_inferred,
     "sink_roundtrip": sink_roundtrip,
     "sink_partitioned": sink_partitioned,
     "mediate_a": mediate_a,
@@ -577,11 +595,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_merge": profile_merge,
     "numeric_stats": numeric_stats,
     "describe_numeric": describe_numeric,
+    "describe_nan": describe_nan,
     "table_shape": table_shape,
     "attribute_roles": attribute_roles,
     "constant_columns": constant_columns,
     "split_stratified": split_stratified,
     "split_sizes": split_sizes,
+    "prepared_splits": prepared_splits,
     "sample_extras": sample_extras,
     "sample_negatives": sample_negatives,
     "training_pairs": training_pairs,

@@ -18,8 +18,9 @@ def to_number(c: Column) -> Column:
 
 
 def to_year(c: Column) -> Column:
-    """Text such as ``2015`` or ``2015.0`` to a whole number."""
-    return to_number(c).try_cast("int")
+    """Text such as ``2015`` or ``2015.0`` to a whole number; a fractional year is null."""
+    number = to_number(c)
+    return F.when(number == F.floor(number), number).try_cast("int")
 
 
 def mileage_bin(c: Column, width: int = MILEAGE_BIN_WIDTH) -> Column:

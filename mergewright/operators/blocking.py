@@ -68,34 +68,58 @@ def same_keys(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return condition
 
 
+def block_sizes(df: DataFrame, columns: Sequence[str], name: str, rows: int) -> DataFrame:
+    """Blocks with more than ``rows`` rows of ``df`` and the number of parts each is dealt into."""
+    return (df.groupBy(*columns).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows)
+            .select(*[F.col(c).alias(f"_hot_{c}") for c in columns],
+                    F.ceil(F.col("_n") / F.lit(rows)).cast("int").alias(name)))
+
+
+def _parts(df: DataFrame, hot: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """Add the number of parts of each row's block, 1 where the block is not listed."""
+    on = same_keys([F.col(c) for c in columns], [F.col(f"_hot_{c}") for c in columns])
+    return (df.join(hot, on, "left").drop(*[f"_hot_{c}" for c in columns])
+            .withColumn(name, F.coalesce(name, F.lit(1))))
+
+
 def join_blocks(many: DataFrame, few: DataFrame, columns: Sequence[str], row_id: str,
-                counted: DataFrame | None = None, hot_rows: int = 1_000_000,
-                max_hot: int = 1000, salts: int = 64) -> DataFrame:
+                counted: DataFrame | None = None, rows_per_task: int = 1_000_000) -> DataFrame:
     """Join within blocks, where ``few`` has a bounded number of rows per block.
 
-    A block with ``hot_rows`` rows of ``many`` or more is spread over ``salts``
-    tasks, and its few rows are repeated once per salt. The largest blocks are
-    found by a pre-aggregated count over the key columns of ``counted`` alone;
-    at most ``max_hot`` of them are listed, which bounds the broadcast. Blocks
-    not listed are joined as usual, so the result does not depend on the list.
+    A block with more than ``rows_per_task`` rows of ``many`` is dealt into as
+    many parts as its own count asks for, and its few rows are repeated once
+    per part. Counts are pre-aggregated over the key columns of ``counted`` alone.
     """
-    counted = many if counted is None else counted
-    hot = (counted.groupBy(*columns).agg(F.count("*").alias("_n"))
-           .filter(F.col("_n") >= hot_rows)
-           .orderBy(F.col("_n").desc(), *columns).limit(max_hot)
-           .select(*[F.col(c).alias(f"_hot_{c}") for c in columns], F.lit(True).alias("_hot")))
-    hot = F.broadcast(hot)
-    on_hot = same_keys([F.col(c) for c in columns], [F.col(f"_hot_{c}") for c in columns])
-
-    left = (many.join(hot, on_hot, "left")
-            .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(row_id), F.lit(salts)))
-                        .otherwise(0).cast("int")))
-    right = few.join(hot, on_hot, "left").withColumn("_salt_few", F.explode(
-        F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-        .otherwise(F.array(F.lit(0)))))
-    scratch = [*[f"_hot_{c}" for c in columns], "_hot"]
-    left, right = left.drop(*scratch), right.drop(*scratch)
+    hot = block_sizes(many if counted is None else counted, columns, "_parts", rows_per_task)
+    left = _parts(many, hot, columns, "_parts").withColumn(
+        "_salt", F.pmod(F.xxhash64(row_id), F.col("_parts")).cast("int")).drop("_parts")
+    right = _parts(few, hot, columns, "_parts").withColumn(
+        "_salt_few", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
     right = right.withColumnsRenamed({c: f"_few_{c}" for c in columns})
     on = same_keys([F.col(c) for c in columns], [F.col(f"_few_{c}") for c in columns])
     return (left.join(right, on & (F.col("_salt") == F.col("_salt_few")))
             .drop("_salt", "_salt_few", *[f"_few_{c}" for c in columns]))
+
+
+def grid_join(left: DataFrame, right: DataFrame, columns: Sequence[str], left_id: str,
+              right_id: str, rows_per_task: int = 20_000) -> DataFrame:
+    """All pairs within blocks (equal, non-null ``columns``, which both sides have).
+
+    A block large on either side becomes a grid: left rows are dealt into n
+    parts, right rows into m, both from the block's own counts, and each cell
+    is joined by itself. No task holds a block, and no pair is lost.
+    """
+    present = F.lit(True)
+    for c in columns:
+        present = present & F.col(c).isNotNull()
+    left, right = left.filter(present), right.filter(present)
+    hot = [block_sizes(side, columns, name, rows_per_task)
+           for side, name in ((left, "_n"), (right, "_m"))]
+    dealt = []
+    for side, row, (own, other) in ((left, left_id, ("_n", "_m")), (right, right_id, ("_m", "_n"))):
+        for sizes, name in zip(hot, ("_n", "_m")):
+            side = _parts(side, sizes, columns, name)
+        dealt.append(side.withColumn(f"_cell{own}", F.pmod(F.xxhash64(row), F.col(own)).cast("int"))
+                     .withColumn(f"_cell{other}", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+                     .drop("_n", "_m"))
+    return dealt[0].join(dealt[1], [*columns, "_cell_n", "_cell_m"]).drop("_cell_n", "_cell_m")

@@ -18,6 +18,7 @@ from mergewright.operators.dedup import one_per_key, one_per_vin
 from mergewright.operators.ranking import first_rows
 from mergewright.schema import CANDIDATES_PER_BLOCK, MEDIATED
 from mergewright.sources.scans import require_columns
+from mergewright.sources.staging import stage
 
 _RANK = "_rank_B"
 
@@ -78,15 +79,15 @@ def label_pairs(a: DataFrame, b: DataFrame, strategy: BlockingStrategy,
                 null_block: str = "literal", **spread: int) -> DataFrame:
     """Matches by VIN and non-matches by block, as one labelled pair table.
 
-    ``cap`` keeps the first so many pairs of each label in the order of A; the
-    first column of ``order_a`` must then be numeric.
+    ``cap`` keeps the first so many pairs of each label in the order of A, of any
+    ordered type. The pairs are then written once, in the shared folder, before they are cut.
     """
     side_a, side_b = sides(a, b, order_a, order_b)
     counted = with_block(a, strategy, null_block).select(*strategy.columns)
     parts = [positives(side_a, side_b),
              negatives(side_a, side_b, strategy, k, null_block, counted, **spread)]
     if cap is not None:
-        parts = [first_rows(p, _order(p), cap) for p in parts]
+        parts = [first_rows(stage(p, "uncapped"), _order(p), cap) for p in parts]
     columns = [*pair_columns(strategy), "label"]
     return parts[0].select(*columns).unionByName(parts[1].select(*columns))
 

@@ -25,13 +25,17 @@ def _stacked(row: DataFrame, attributes: Sequence[str], fields: dict[str, str])
     return row.select(F.explode(entries).alias("e")).select("e.*")
 
 
-def _cell(name: str) -> Column:
-    return F.col(f"`{name}`")
+def _cell(name: str, df: DataFrame | None = None) -> Column:
+    """A column; with ``df`` given, NaN of a floating-point column is missing."""
+    column = F.col(f"`{name}`")
+    if df is not None and isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(column), column)
+    return column
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
     """Missing cells of every column, in one pass and without a shuffle of rows."""
-    row = df.agg(*[F.count_if(_cell(c).isNull()).alias(f"{i}_missing_count")
+    row = df.agg(*[F.count_if(_cell(c, df).isNull()).alias(f"{i}_missing_count")
                    for i, c in enumerate(df.columns)])
     return _stacked(row, df.columns, {"missing_count": "bigint"})
 
@@ -45,7 +49,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     present = [c for c in (columns or df.columns) if c in df.columns]
 
     def value(c: str) -> Column:
-        text = _cell(c).cast("string")
+        text = _cell(c, df).cast("string")
         return F.when(F.length(text) > LONG_TEXT, F.concat(F.lit("#"), F.sha2(text, 256))
                       ).otherwise(text)
 
@@ -66,8 +70,8 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 def approx_distinct_counts(df: DataFrame, lg_k: int = HLL_LG_K) -> DataFrame:
     """Missing and approximate distinct values of every column in one pass."""
     row = df.agg(*[e for i, c in enumerate(df.columns) for e in (
-        F.count_if(_cell(c).isNull()).alias(f"{i}_missing_count"),
-        F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(_cell(c).cast("string"), lg_k)),
+        F.count_if(_cell(c, df).isNull()).alias(f"{i}_missing_count"),
+        F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(_cell(c, df).cast("string"), lg_k)),
                    F.lit(0)).alias(f"{i}_unique_count"))])
     return _stacked(row, df.columns, {"missing_count": "bigint", "unique_count": "bigint"})
 
@@ -76,31 +80,38 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def _number(df: DataFrame, name: str) -> Column:
+def as_number(df: DataFrame, name: str) -> Column:
     if name not in df.columns:
         return F.lit(None).cast("double")
     kind = df.schema[name].dataType
     if isinstance(kind, T.StringType):
         return to_number(_cell(name))
-    return (_cell(name) if isinstance(kind, T.NumericType) else F.lit(None)).cast("double")
+    return (_cell(name, df) if isinstance(kind, T.NumericType) else F.lit(None)).cast("double")
 
 
 _STATS = {"count": "bigint", "mean": "double", "std": "double", "min": "double", "max": "double"}
 
 
+STATS = tuple(_STATS)
+
+
+def moments(columns: Sequence[str]) -> list[Column]:
+    """Aggregates ``<i>_count`` to ``<i>_max`` of double columns."""
+    return [e for i, c in enumerate(columns) for e in (
+        F.count(f"`{c}`").alias(f"{i}_count"),
+        F.coalesce(F.avg(f"`{c}`"), F.lit(0.0)).alias(f"{i}_mean"),
+        F.coalesce(F.stddev_samp(f"`{c}`"), F.lit(0.0)).alias(f"{i}_std"),
+        F.min(f"`{c}`").alias(f"{i}_min"), F.max(f"`{c}`").alias(f"{i}_max"))]
+
+
 def numeric_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum and maximum of columns read as numbers.
 
     The deviation is 0 for fewer than two values. A column that is absent or
     holds no number has count 0 and mean 0; so has a column of another type.
     """
-    numbers = df.select(*[_number(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
-    row = numbers.agg(*[e for i in range(len(columns)) for e in (
-        F.count(f"c{i}").alias(f"{i}_count"),
-        F.coalesce(F.avg(f"c{i}"), F.lit(0.0)).alias(f"{i}_mean"),
-        F.coalesce(F.stddev_samp(f"c{i}"), F.lit(0.0)).alias(f"{i}_std"),
-        F.min(f"c{i}").alias(f"{i}_min"), F.max(f"c{i}").alias(f"{i}_max"))])
-    return _stacked(row, columns, _STATS)
+    numbers = df.select(*[as_number(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
+    return _stacked(numbers.agg(*moments([f"c{i}" for i in range(len(columns))])), columns, _STATS)
 
 
 def partial_profile(df: DataFrame, by: Sequence[str], columns: Sequence[str],
@@ -110,8 +121,8 @@ def partial_profile(df: DataFrame, by: Sequence[str], columns: Sequence[str],
     Holds the missing count, the moments and a distinct-value sketch, so that
     parts profiled on their own (daily loads, say) can be merged later.
     """
-    numbers = df.select(*by, *[_cell(c).alias(f"v{i}") for i, c in enumerate(columns)],
-                        *[_number(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
+    numbers = df.select(*by, *[_cell(c, df).alias(f"v{i}") for i, c in enumerate(columns)],
+                        *[as_number(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
     wide = numbers.groupBy(*by).agg(*[e for i in range(len(columns)) for e in (
         F.count_if(F.col(f"v{i}").isNull()).alias(f"{i}_missing_count"),
         F.count(f"c{i}").alias(f"{i}_count"), F.avg(f"c{i}").alias(f"{i}_mean"),
@@ -146,8 +157,29 @@ def merge_profiles(parts: DataFrame) -> DataFrame:
 
 
 def profile_summary(df: DataFrame, distinct_of: Sequence[str] | None = None) -> DataFrame:
-    """Missing and exact distinct counts by attribute; distinct null where not asked for."""
-    return missing_counts(df).join(distinct_counts(df, distinct_of), "attribute", "left")
+    """Missing and exact distinct counts by attribute; distinct null where not asked for.
+
+    One pass: every cell becomes an (attribute, value) row, a missing one a row without a
+    value; cells of attributes whose values are not asked for are kept only where missing.
+    """
+    names, wanted = df.columns, set(df.columns if distinct_of is None else distinct_of)
+
+    def value(c: str) -> Column:
+        text = _cell(c, df).cast("string")
+        return F.when(F.length(text) > LONG_TEXT, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(text)
+
+    cells = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), value(c).alias("value"),
+                 (_cell(c, df).isNull() if c not in wanted else F.lit(True)).alias("counted"))
+        for i, c in enumerate(names)])).alias("e")).select("e.*").filter("counted")
+    counts = cells.groupBy("i", "value").agg(F.count("*").alias("n")).groupBy("i").agg(
+        F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("missing"), F.count("value").alias("unique"))
+    listed = df.sparkSession.createDataFrame(
+        [(i, c, c in wanted) for i, c in enumerate(names)], "i int, attribute string, asked boolean")
+    zero = F.lit(0).cast("bigint")
+    return listed.join(counts, "i", "left").select(
+        "attribute", F.coalesce("missing", zero).alias("missing_count"),
+        F.when(F.col("asked"), F.coalesce("unique", zero)).alias("unique_count"))
 
 
 def profile_top(profile: DataFrame, n: int | None = TOP_ROWS) -> DataFrame:

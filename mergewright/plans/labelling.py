@@ -12,7 +12,7 @@ from mergewright.operators.blocking import STRATEGIES, BlockingStrategy
 from mergewright.operators.mediate import mediate
 from mergewright.operators.pairs import label_pairs
 from mergewright.operators.split import split_stratified
-from mergewright.schema import CAP_PER_LABEL, SOURCE_A, SOURCE_B
+from mergewright.schema import SOURCE_A, SOURCE_B
 from mergewright.sources.sinks import write_splits
 from mergewright.sources.staging import stage
 
@@ -26,10 +26,11 @@ def mediated_sources(raw_a: DataFrame, raw_b: DataFrame, keep: Sequence[str] = (
 
 def prepare_splits(a: DataFrame, b: DataFrame, path: str,
                    strategies: Sequence[BlockingStrategy] = tuple(STRATEGIES.values()),
-                   order: Sequence[str] = ("id",), cap: int | None = CAP_PER_LABEL) -> str:
+                   order: Sequence[str] = ("id",), cap: int | None = None) -> str:
     """Label pairs under each strategy, split them and write them by strategy and split.
 
-    The pairs are written once before the split, which reads their ids three times.
+    The pairs are written once before the split, which reads their ids three times. ``cap`` keeps
+    the first so many pairs of each label; by default all are kept.
     """
     for i, strategy in enumerate(strategies):
         pairs = stage(label_pairs(a, b, strategy, order, order, cap=cap), f"pairs-{strategy.name}")

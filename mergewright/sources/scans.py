@@ -11,15 +11,14 @@ from mergewright.functions.missing import DEFAULT_TOKENS, NA_TOKENS, nulls_in_fr
 
 
 def _reader(spark: SparkSession, multiline: bool):
-    # Quotes inside a quoted cell are doubled. Quoted line breaks need
-    # multiLine, which reads a file as one split: land large sources as many
-    # files, or pass multiline=False when no cell holds a line break.
+    # Quotes inside a quoted cell are doubled. Cells with line breaks need
+    # multiline=True, which reads a file as one split: land such sources as many files.
     return (spark.read.option("header", True).option("escape", '"')
             .option("multiLine", multiline).option("enforceSchema", False))
 
 
 def scan_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-              tokens: Sequence[str] = NA_TOKENS, multiline: bool = True) -> DataFrame:
+              tokens: Sequence[str] = NA_TOKENS, multiline: bool = False) -> DataFrame:
     """Every column as text, missing-value tokens as null.
 
     With ``columns`` the header is checked against them and no look-ahead job
@@ -32,7 +31,7 @@ def scan_text(spark: SparkSession, path: str, columns: Sequence[str] | None = No
 
 
 def scan_typed(spark: SparkSession, path: str, schema: T.StructType | None = None,
-               multiline: bool = True) -> DataFrame:
+               multiline: bool = False) -> DataFrame:
     """Typed scan. Without ``schema`` the types are inferred, which reads the data twice."""
     reader = _reader(spark, multiline)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
@@ -54,4 +53,4 @@ def spread(df: DataFrame, by: str) -> DataFrame:
     shuffle would run in it. A scan of many files is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, by) if len(df.inputFiles()) < cores else df

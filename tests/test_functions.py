@@ -51,7 +51,7 @@ def test_numbers(spark):
     values = ["1", " 2.5 ", "1e3", "-4", "+.5", "7d", "x", "", None, "NaN", "inf", "1,000", "5."]
     assert apply(spark, to_number, values) == [
         1.0, 2.5, 1000.0, -4.0, 0.5, None, None, None, None, None, None, None, 5.0]
-    assert apply(spark, to_year, ["2015", "2015.0", "x", "99999999999"]) == [2015, 2015, None, None]
+    assert apply(spark, to_year, ["2015", "2015.0", "x", "99999999999", "2015.5"]) == [2015, 2015, None, None, None]
 
 
 def test_mileage_bin(spark):

@@ -42,9 +42,9 @@ def test_csv_keeps_difficult_text(spark, tmp_path):
     rows = [("1", ' two "quoted", words '), ("2", "line\nbreak"), ("3", None), ("4", "na"), ("5", "NA")]
     df = spark.createDataFrame(rows, "id string, t string")
     path = write_csv(df, str(tmp_path / "t"))
-    got = {r["id"]: r["t"] for r in scan_text(spark, path).collect()}
+    got = {r["id"]: r["t"] for r in scan_text(spark, path, multiline=True).collect()}
     assert got == {"1": ' two "quoted", words ', "2": "line\nbreak", "3": None, "4": None, "5": None}
-    typed = scan_typed(spark, path)
+    typed = scan_typed(spark, path, multiline=True)
     assert dict(typed.dtypes)["id"] == "int"
     assert {r["id"]: r["t"] for r in typed.collect()}[4] == "na"
 
@@ -97,7 +97,7 @@ def test_first_rows(spark, n):
     rng = random.Random(2)
     rows = [(rng.choice([0, rng.randrange(10 ** 6)]), i) for i in range(2000)]
     df = spark.createDataFrame(rows, "o long, id long").repartition(7)
-    got = ranking.first_rows(df, ["o", "id"], n, accuracy=100).collect()
+    got = ranking.first_rows(df, ["o", "id"], n).collect()
     assert sorted((r["o"], r["id"]) for r in got) == sorted(rows)[:n]
 
 
@@ -150,8 +150,8 @@ def brute_pairs(a, b, keys, k=5):
 def test_label_pairs(spark, strategy, hot):
     a, b = make_sources(random.Random(3), hot)
     df_a, df_b = (spark.createDataFrame(source(r), MEDIATED) for r in (a, b))
-    # Small limits, so that blocks are salted and some are not listed as hot.
-    got = pairs.label_pairs(df_a, df_b, strategy, hot_rows=10, max_hot=2, salts=3)
+    # A small limit, so that blocks are dealt into parts by their own counts.
+    got = pairs.label_pairs(df_a, df_b, strategy, rows_per_task=4)
     assert got.columns == [*pairs.pair_columns(strategy), "label"]
     rows = [(r["id_A"], r["id_B"], r["label"]) for r in got.collect()]
     assert len(rows) == len(set(rows)) and set(rows) == brute_pairs(a, b, strategy.keys)
@@ -357,8 +357,26 @@ def test_candidates_and_costs(spark):
     assert len(met) == len(set(met)) and set(met) == brute_met(records, rules)
     costs = {r["rule"]: r["pairs"] for r in candidates.rule_costs(records, rules).collect()}
     assert costs == {i: float(len(brute_met(records, [r]))) for i, r in enumerate(rules)}
-    with pytest.raises(ValueError, match="more than 3 pairs"):
-        candidates.candidate_pairs(records, rules, max_block_pairs=3)
+    # Blocks far above a task's rows are joined as grids: the same pairs.
+    for limit in (1, 3, 7):
+        grid = [(r["id_A"], r["id_B"]) for r in candidates.candidate_pairs(records, rules, rows_per_task=limit).collect()]
+        assert len(grid) == len(set(grid)) and set(grid) == set(met)
+
+
+def test_a_large_block_is_spread_over_tasks(spark):
+    side = spark.range(3000).select(F.lit(1).alias("k"), F.col("id").alias("x"))
+    met = blocking.grid_join(side.withColumnRenamed("x", "id_A"), side.withColumnRenamed("x", "id_B"), ["k"],
+                             "id_A", "id_B", rows_per_task=500)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = [r["n"] for r in met.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(parts) == 9_000_000 and len(parts) > 10 and max(parts) < 2_000_000
 
 
 def test_learned_rules_cover_the_matches(spark):
@@ -373,15 +391,26 @@ def test_learned_rules_cover_the_matches(spark):
     learned = candidates.learn_blocking(records, links)
     assert learned.uncovered == 0 and sum(learned.covered) == learned.matches == len(known)
     assert set(known) <= brute_met(records, learned.rules)
-    # Costs estimated on a share of the records, limits still those of all records.
-    for limit in (1, 40):
-        near = candidates.learn_blocking(records, links, max_block_pairs=limit, estimate_rows=50)
-        assert near.uncovered + sum(near.covered) == len(known)
-        if near.rules:
-            costs = candidates.rule_costs(records, near.rules).collect()
-            assert all(r["largest"] <= limit for r in costs)
-            assert {near.rules[r["rule"]]: r["pairs"] for r in costs} == {
-                r: p for r, p in zip(near.rules, near.pairs) if p}
+    # Whatever is measured, and on however small a share costs are estimated, all are covered.
+    crowd = records.unionByName(records.filter("source = 'A'").withColumn(
+        "id", F.explode(F.transform(F.sequence(F.lit(1), F.lit(30)), lambda i: F.concat_ws("-", "id", i)))))
+    for rows in (20, 50):
+        near = candidates.learn_blocking(records, links, crowd, estimate_rows=rows)
+        assert near.uncovered == 0 and sum(near.covered) == len(known)
+        costs = {near.rules[r["rule"]]: r["pairs"] for r in candidates.rule_costs(crowd, near.rules).collect()}
+        assert costs == {r: p for r, p in zip(near.rules, near.pairs) if p}
+    # Records repeated tenfold under new ids lead to the same rules.
+    tenfold = records.withColumn("id", F.explode(F.transform(
+        F.sequence(F.lit(0), F.lit(9)), lambda i: F.when(i == 0, F.col("id")).otherwise(F.concat_ws("-", "id", i)))))
+    assert candidates.learn_blocking(tenfold, links).rules == learned.rules
+
+
+def test_saved_rules_are_read_again(spark):
+    from mergewright.sources.staging import new_path
+    learned = candidates.Learned((candidates.Rule(("a", "b")), candidates.Rule(("c",))), (3, 2), (9.0, 4.0), 6, 1)
+    path = new_path(spark, "rules")
+    learned.save(spark, path)
+    assert candidates.load_rules(spark, path) == learned
 
 
 def test_profiles_count_copies(spark):
@@ -406,6 +435,33 @@ def test_weighted_fit_equals_the_plain_loss(spark):
     assert max(abs(g[0] + w[0]), abs(g[1] + w[1]), abs(g[2])) < 0.05
 
 
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0,), (2.0,), (nan,), (4.0,), (None,)], "x double")
+    row = quantiles.describe_numeric(df).first().asDict()
+    assert (row["count"], round(row["mean"], 4), row["max"], row["q50"], row["q75"]) == (3, 2.3333, 4.0, 2.0, 3.0)
+    assert profile.numeric_stats(df, ["x"]).first()["max"] == 4.0
+    summary = profile.profile_summary(df).first()
+    assert (summary["missing_count"], summary["unique_count"]) == (2, 3)
+    assert profile.missing_counts(df).first()["missing_count"] == 2
+    assert profile.approx_distinct_counts(df).first()["unique_count"] == 3
+    parts = profile.partial_profile(df.withColumn("p", F.lit(1)), ["p"], ["x"])
+    assert profile.merge_profiles(parts).first()["max"] == 4.0
+
+
+def test_cuts_refine_a_large_bucket(spark):
+    rows = [(i % 2, hashlib.md5(str(i % 50).encode()).hexdigest()[:6] + hashlib.md5(str(i).encode()).hexdigest()[6:])
+            for i in range(2000)]
+    df = spark.createDataFrame(rows, "label int, d string")
+    for limit in (5, 10 ** 6):
+        got = {r["label"]: (r["cut_70"], r["cut_85"]) for r in ranking.class_cuts(
+            df, "label", "d", [70, 85], [0, 1], rows_per_task=limit).collect()}
+        for label in (0, 1):
+            ordered = sorted(d for k, d in rows if k == label)
+            assert got[label] == (ordered[699], ordered[849])
+    assert ranking.bucket_chars(10 ** 12) > ranking.bucket_chars(10 ** 6) == 3
+
+
 def test_model_is_used_again(spark):
     from mergewright.sources.staging import new_path
     df = spark.createDataFrame([(0.0, 0), (1.0, 1), (0.5, 1), (0.4, 0)], "x double, label int")

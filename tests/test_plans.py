@@ -34,7 +34,7 @@ def cars(spark, rng, n=240):
 def splits(spark):
     a, b = cars(spark, random.Random(1))
     path = new_path(spark, "splits")
-    labelling.prepare_splits(a, b, path, cap=None)
+    labelling.prepare_splits(a, b, path)
     return spark.read.parquet(path)
 
 
@@ -47,6 +47,15 @@ def test_splits_on_disk(spark, splits):
     assert re.search(r"PartitionFilters: \[[^\]]*strategy", scan) and "ReadSchema: struct<id_A:string>" in scan
 
 
+def test_capped_splits_on_text_ids(spark):
+    a, b = cars(spark, random.Random(1))
+    path = new_path(spark, "splits")
+    labelling.prepare_splits(a, b, path, strategies=(blocking.B1,), cap=20)
+    rows = spark.read.parquet(path).collect()
+    assert Counter(r["label"] for r in rows) == {0: 20, 1: 20}
+    assert {r["id_A"] for r in rows if r["label"] == 1} == {f"a{i:04d}" for i in range(20)}
+
+
 def parts(splits, strategy="b1"):
     mine = splits.filter(F.col("strategy") == strategy)
     return mine.filter(F.col("split") == "train"), mine.filter(F.col("split") == "test")
@@ -68,7 +77,11 @@ def test_linker_finds_the_matches(spark, splits):
     assert len({a for a, _ in links}) == len({b for _, b in links}) == len(links)
     assert result.metrics.first()["recall"] > 0.8 and result.blocking.uncovered == 0
     assert spark.read.json(examples).filter("label = 1").count() == pairs.true_links(train).count()
-    again = linkage.train_and_link(train, test, model)
+    # Only what was saved is needed to link again.
+    saved = linkage.link_saved(pairs.records_for_linker(test), model)
+    assert sorted(map(tuple, saved.collect())) == sorted(map(tuple, result.links.collect()))
+    assert linkage.load_linker(spark, model)[1] == result.blocking
+    again = linkage.train_and_link(train.limit(0), test, model)
     assert sorted(map(tuple, again.links.collect())) == sorted(map(tuple, result.links.collect()))
 
 
@@ -103,6 +116,27 @@ def test_copies_are_linked_like_single_records(spark):
     assert Counter((of["A", a], of["B", b]) for a, b in got) == expected
 
 
+def test_links_of_one_profile_with_many_runs(spark):
+    """2,000 copies taken in 200 runs: as many numbers as links, whatever the chunk."""
+    runs = [("p", f"q{i}", 0.9, 2000, 10, 10 * i, 0, 10) for i in range(200)]
+    assigned = spark.createDataFrame(runs, "id_A string, id_B string, score double, copies_A long, copies_B long, "
+                                           "from_A long, from_B long, take long")
+    for chunk in (3, 10_000):
+        numbers = linkage.link_numbers(assigned, chunk).collect()
+        assert len(numbers) == 2000 and {r["number_A"] for r in numbers} == set(range(1, 2001))
+    rows = [("A", "p", f"a{i}") for i in range(2000)] + [("B", f"q{i // 10}", f"b{i}") for i in range(2000)]
+    records = spark.createDataFrame(rows + [("A", "unused", "z")], "source string, profile string, id string")
+    got = linkage.expand_copies(assigned, records).collect()
+    assert len(got) == len({r["id_A"] for r in got}) == len({r["id_B"] for r in got}) == 2000
+
+
+def test_assignment_plans_without_sort_aggregates(spark):
+    from mergewright.operators.assign import mutual_best, with_tie
+    table = spark.createDataFrame([("a", "b", 0.5)], "id_A string, id_B string, score double")
+    plan = plan_of(mutual_best(with_tie(table)))
+    assert "SortAggregate" not in plan and "WindowGroupLimit" in plan
+
+
 def test_plans_have_no_cross_join_and_one_python_step(spark):
     a, b = (spark.createDataFrame(source(r), MEDIATED) for r in make_sources(random.Random(3)))
     for strategy in (blocking.B1, blocking.B2):
