@@ -19,7 +19,7 @@ def letters_only(text: str, table: np.ndarray) -> np.ndarray:
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = table[points]
     points = np.where(letter, points, BLANK)
-    keep = letter | np.concatenate([[True], letter[:-1]]) if len(letter) else letter
+    keep = letter | np.concatenate([[False], letter[:-1]]) if len(letter) else letter
     return np.concatenate([[BLANK], points[keep], [BLANK]]).astype(np.uint32)
 
 
