@@ -195,7 +195,7 @@ TABLES = {
         where r <= (select w from wanted)""",
     "linked_texts": "select id_A, id_B, label, price_A, price_B, mileage_A, mileage_B, " + ", ".join(
         f"{norm_linker(f'cast({c}_{s} as varchar)')} as {c}_{s}"
-        for c in ("year", "state") for s in ("A", "B")) + " from gt1",
+        for c in ("model", "make", "year", "state") for s in ("A", "B")) + " from gt1",
 }
 
 
@@ -215,7 +215,10 @@ def with_tables(select: str) -> str:
     visit(select)
     if not needed:
         return select
+    recursive = select.startswith("with recursive ")
     listed = ",\n".join(f"{n} as ({TABLES[n]})" for n in TABLES if n in needed)
+    if recursive:
+        return f"with recursive {listed},\n{select.removeprefix('with recursive ')}"
     return f"with {listed}\n{select}"
 
 
@@ -347,6 +350,46 @@ def merged(c: str) -> str:
             "true as within_bound from orders")
 
 
+def best_of_both(table: str, *within: str) -> str:
+    """``table`` with ``best``: whether a pair is the best of both its sides."""
+    ranks = [f"row_number() over (partition by {', '.join([*within, side])} order by score desc, tie desc) = 1"
+             for side in ("id_A", "id_B")]
+    return f"(select *, {' and '.join(ranks)} as best from {table})"
+
+
+# Rounds of mutually best pairs: a round's open pairs are those of which the last round used neither side.
+ONE_TO_ONE = f"""with recursive open_pairs(id_A, id_B, score, tie, turn) as (
+    select id_A, id_B, round(score, 6), {digest('id_A', 'id_B')}, 1 from scored where prediction = 1
+    union all
+    select id_A, id_B, score, tie, turn + 1 from (
+        select *, bool_or(best) over (partition by id_A) as used_a,
+               bool_or(best) over (partition by id_B) as used_b from {best_of_both('open_pairs')})
+    where not used_a and not used_b)
+select id_A, id_B, score from {best_of_both('open_pairs', 'turn')} where best"""
+
+TEXT_FIELDS = ("model", "make", "year", "state")
+# Cheapest alignments of distinct pairs of texts, one character of the first text a step. ``ends`` has the
+# cost of each prefix of the second text, ``gaps`` that of ending in a gap there. A gap in the other text that ends at j
+# began after some k < j, so it is a minimum over k.
+DISTANCES = f"""with recursive distinct_texts as ({' union '.join(
+    f'select {f}_A as a, {f}_B as b from linked_texts where {f}_A <> {f}_B' for f in TEXT_FIELDS)}),
+aligned(a, b, i, ends, gaps) as (
+    select a, b, 0, list_transform(range(0, length(b) + 1), lambda j: case when j = 0 then 0.0 else 10 + 7.0 * j end),
+           list_transform(range(0, length(b) + 1), lambda j: 1e18) from distinct_texts
+    union all
+    select a, b, i, list_transform(range(1, length(b) + 2), lambda j: case when j = 1 then base[1] else
+               least(base[j], 7 * j + 10 + list_min(list_transform(range(1, j), lambda k: base[k] - 7 * k))) end), gaps
+    from (select a, b, i, gaps, list_transform(range(1, length(b) + 2), lambda j: case when j = 1 then gaps[1] else
+               least(gaps[j], ends[j - 1] + case when substr(b, j - 1, 1) = substr(a, i, 1) then 1 else 11 end) end) as base
+          from (select a, b, i + 1 as i, ends, list_transform(range(1, length(b) + 2), lambda j:
+                    least(ends[j] + 10, gaps[j]) + 7) as gaps from aligned where i < length(a)))),
+far as (select a, b, ends[length(b) + 1] / (length(a) + length(b)) as d from aligned where i = length(a))
+select id_A, id_B, {', '.join(
+    f'coalesce(case when {f}_A = {f}_B then 0.5 else {f}_far.d end, 0.0) as {f}' for f in TEXT_FIELDS)}
+from linked_texts {' '.join(
+    f'left join far {f}_far on {f}_far.a = {f}_A and {f}_far.b = {f}_B' for f in TEXT_FIELDS)}"""
+
+
 STATEMENTS: dict[str, str] = {
     "scan_text_na": f"select {', '.join(B_COLUMNS)} from null_b",
     "scan_typed": "select * from orders",
@@ -468,6 +511,8 @@ STATEMENTS: dict[str, str] = {
         cast({log_distance('mileage')} is null as double) as mileage_missing,
         cast(state_A is null or state_B is null as double) as state_missing from linked_texts""",
     "candidates": candidate_rows(),
+    "linker_distances": DISTANCES,
+    "one_to_one": ONE_TO_ONE,
     "block_costs": f"{cost(0)} union all {cost(1)}",
     "profile_copies": f"select source, copies, {', '.join(COMPARED)} from profiles",
     "one_to_one_round1": f"""select id_A, id_B, score from (

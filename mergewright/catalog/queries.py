@@ -531,8 +531,9 @@ def linker_fit(spark, folder):
 
 
 def one_to_one(spark, folder):
-    return assign.one_to_one(fixed_scores(spark, folder)).select(
-        "id_A", "id_B", F.round("score", 6).alias("score"))
+    # Scores are rounded before they are compared, see below.
+    scored = fixed_scores(spark, folder).filter(F.col("prediction") == 1)
+    return assign.one_to_one(scored.select("id_A", "id_B", F.round("score", 6).alias("score")), 0.0)
 
 
 def one_to_one_round1(spark, folder):
