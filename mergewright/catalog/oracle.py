@@ -390,6 +390,45 @@ from linked_texts {' '.join(
     f'left join far {f}_far on {f}_far.a = {f}_A and {f}_far.b = {f}_B' for f in TEXT_FIELDS)}"""
 
 
+def newton(vectors: str, features, steps: int = 30, penalty: float = 1.0) -> str:
+    """Recursive tables that end in ``weights(w)``: logistic regression by Newton steps.
+
+    ``vectors`` gives the features, ``y`` and a count ``n``. The intercept, last, has no
+    penalty. Each step solves its linear system by elimination on a list of rows.
+    """
+    x = [*features, "1.0"]
+    size = len(x)
+    z = " + ".join(f"w[{i + 1}] * {c}" for i, c in enumerate(x))
+    held = [f"{penalty} * w[{i + 1}]" if i < size - 1 else "0" for i in range(size)]
+    rows = ["[" + ", ".join([*(f"sum(n * p * (1 - p) * {a} * {b})" + (f" + {penalty}" if i == j < size - 1 else "")
+                              for j, b in enumerate(x)), f"sum(n * (p - y) * {a}) + {held[i]}"]) + "]"
+            for i, a in enumerate(x)]
+    steps_of = ", ".join(f"[[{k + 1}.0]]" for k in range(size))
+    eliminate = ("lambda m, k: list_transform(m, lambda r, i: list_transform(r, lambda v, j: case when i = k[1][1] then "
+                 "v / m[k[1][1]::int][k[1][1]::int] else v - r[k[1][1]::int] / m[k[1][1]::int][k[1][1]::int] * "
+                 "m[k[1][1]::int][j] end))")
+    return f"""vectors as ({vectors}),
+fits(step, w) as (
+    select 0, [{', '.join(['0.0::double'] * size)}]
+    union all
+    select step + 1, list_transform(w, lambda v, i: v - solved[i][{size + 1}]) from (
+        select step, w, list_reduce([system, {steps_of}], {eliminate}) as solved from (
+            select step, w, [{', '.join(rows)}] as system
+            from (select *, 1 / (1 + exp(-({z}))) as p from fits, vectors where step < {steps}) group by step, w))),
+weights as (select w from fits where step = {steps})"""
+
+
+FEATURES = ("model", "year", "mileage", "state", "make")
+FITTED = " + ".join([*(f"w[{i + 1}] * f.{c}" for i, c in enumerate(FEATURES)), f"w[{len(FEATURES) + 1}]"])
+FIT_PREDICT = f"""with recursive split_feat as (select f.*, s.split from feat f join split_b1 s
+    on s.id_A = f.id_A and s.id_B = f.id_B and s.label = f.label),
+{newton(f"select {', '.join(FEATURES)}, label as y, count(*) as n from split_feat where split = 'train' group by all",
+        FEATURES)}
+select id_A, id_B, label, cast(1 / (1 + exp(-({FITTED}))) >= 0.5 as integer) as prediction,
+       round(1 / (1 + exp(-({FITTED}))), 3) as score
+from split_feat f, weights where split = 'test'"""
+
+
 STATEMENTS: dict[str, str] = {
     "scan_text_na": f"select {', '.join(B_COLUMNS)} from null_b",
     "scan_typed": "select * from orders",
@@ -512,6 +551,7 @@ STATEMENTS: dict[str, str] = {
         cast(state_A is null or state_B is null as double) as state_missing from linked_texts""",
     "candidates": candidate_rows(),
     "linker_distances": DISTANCES,
+    "lr_fit_predict": FIT_PREDICT,
     "one_to_one": ONE_TO_ONE,
     "block_costs": f"{cost(0)} union all {cost(1)}",
     "profile_copies": f"select source, copies, {', '.join(COMPARED)} from profiles",

@@ -429,7 +429,7 @@ def lr_fit_predict(spark, folder):
     result = classification.classify(splits.filter(F.col("split") == "train"),
                                      splits.filter(F.col("split") == "test"))
     return result.predictions.select("id_A", "id_B", "label", "prediction",
-                                     F.round("score", 4).alias("score"))
+                                     F.round("score", 3).alias("score"))
 
 
 def lr_score_fixed(spark, folder):
