@@ -196,6 +196,12 @@ TABLES = {
     "linked_texts": "select id_A, id_B, label, price_A, price_B, mileage_A, mileage_B, " + ", ".join(
         f"{norm_linker(f'cast({c}_{s} as varchar)')} as {c}_{s}"
         for c in ("model", "make", "year", "state") for s in ("A", "B")) + " from gt1",
+    "example_texts": "select p.*, A.price as price_A, B.price as price_B, A.mileage as mileage_A, "
+        "B.mileage as mileage_B, " + ", ".join(
+        f"{norm_linker(f'cast({s}.{c} as varchar)')} as {c}_{s}"
+        for c in ("model", "make", "year", "state") for s in ("A", "B")) + """ from (
+        select id_A, id_B, 1 as label from links union all select id_A, id_B, 0 from negatives) p
+        join med_a A on A.id = id_A join med_b B on B.id = id_B""",
 }
 
 
@@ -371,8 +377,10 @@ TEXT_FIELDS = ("model", "make", "year", "state")
 # Cheapest alignments of distinct pairs of texts, one character of the first text a step. ``ends`` has the
 # cost of each prefix of the second text, ``gaps`` that of ending in a gap there. A gap in the other text that ends at j
 # began after some k < j, so it is a minimum over k.
-DISTANCES = f"""with recursive distinct_texts as ({' union '.join(
-    f'select {f}_A as a, {f}_B as b from linked_texts where {f}_A <> {f}_B' for f in TEXT_FIELDS)}),
+def distances(texts: str) -> str:
+    """Recursive tables that end in ``far(a, b, d)``: distances of all distinct pairs of texts in ``texts``."""
+    return f"""distinct_texts as ({' union '.join(
+    f'select {f}_A as a, {f}_B as b from {texts} where {f}_A <> {f}_B' for f in TEXT_FIELDS)}),
 aligned(a, b, i, ends, gaps) as (
     select a, b, 0, list_transform(range(0, length(b) + 1), lambda j: case when j = 0 then 0.0 else 10 + 7.0 * j end),
            list_transform(range(0, length(b) + 1), lambda j: 1e18) from distinct_texts
@@ -383,11 +391,20 @@ aligned(a, b, i, ends, gaps) as (
                least(gaps[j], ends[j - 1] + case when substr(b, j - 1, 1) = substr(a, i, 1) then 1 else 11 end) end) as base
           from (select a, b, i + 1 as i, ends, list_transform(range(1, length(b) + 2), lambda j:
                     least(ends[j] + 10, gaps[j]) + 7) as gaps from aligned where i < length(a)))),
-far as (select a, b, ends[length(b) + 1] / (length(a) + length(b)) as d from aligned where i = length(a))
-select id_A, id_B, {', '.join(
-    f'coalesce(case when {f}_A = {f}_B then 0.5 else {f}_far.d end, 0.0) as {f}' for f in TEXT_FIELDS)}
-from linked_texts {' '.join(
-    f'left join far {f}_far on {f}_far.a = {f}_A and {f}_far.b = {f}_B' for f in TEXT_FIELDS)}"""
+far as (select a, b, ends[length(b) + 1] / (length(a) + length(b)) as d from aligned where i = length(a))"""
+
+
+def with_distances(texts: str) -> tuple[str, str]:
+    """The distances of the text fields as columns (null where a side is missing), and the joins they need."""
+    columns = ", ".join(f"case when {f}_A = {f}_B then 0.5 else {f}_far.d end as {f}" for f in TEXT_FIELDS)
+    joins = " ".join(f"left join far {f}_far on {f}_far.a = {f}_A and {f}_far.b = {f}_B" for f in TEXT_FIELDS)
+    return columns, f"{texts} {joins}"
+
+
+COLUMNS, JOINED = with_distances("linked_texts")
+DISTANCES = f"""with recursive {distances('linked_texts')}
+select id_A, id_B, {', '.join(f'coalesce({f}, 0.0) as {f}' for f in TEXT_FIELDS)}
+from (select id_A, id_B, {COLUMNS} from {JOINED})"""
 
 
 def newton(vectors: str, features, steps: int = 30, penalty: float = 1.0) -> str:
@@ -429,6 +446,22 @@ select id_A, id_B, label, cast(1 / (1 + exp(-({FITTED}))) >= 0.5 as integer) as
 from split_feat f, weights where split = 'test'"""
 
 
+LINKER_FIELDS = [*TEXT_FIELDS[:3], "price", "mileage", "state"]
+MISSABLE = ["year", "price", "mileage", "state"]
+LINKER = [*LINKER_FIELDS, *[f"{c}_missing" for c in MISSABLE]]
+EXAMPLE_COLUMNS, EXAMPLES = with_distances("example_texts")
+LINKER_FITTED = " + ".join([*(f"w[{i + 1}] * {c}" for i, c in enumerate(LINKER)), f"w[{len(LINKER) + 1}]"])
+LINKER_FIT = f"""with recursive {distances('example_texts')},
+measured as (select id_A, id_B, label, {EXAMPLE_COLUMNS}, {log_distance('price')} as price,
+    {log_distance('mileage')} as mileage from {EXAMPLES}),
+examples as (select id_A, id_B, label, {', '.join(f'coalesce({c}, 0.0) as {c}' for c in LINKER_FIELDS)},
+    {', '.join(f'cast({c} is null as double) as {c}_missing' for c in MISSABLE)} from measured),
+{newton(f"select {', '.join(LINKER)}, label as y, count(*) as n from examples group by all", LINKER)}
+select id_A, id_B, label, cast(1 / (1 + exp(-({LINKER_FITTED}))) >= 0.5 as integer) as prediction,
+       round(1 / (1 + exp(-({LINKER_FITTED}))), 2) as score
+from examples, weights"""
+
+
 STATEMENTS: dict[str, str] = {
     "scan_text_na": f"select {', '.join(B_COLUMNS)} from null_b",
     "scan_typed": "select * from orders",
@@ -551,6 +584,7 @@ STATEMENTS: dict[str, str] = {
         cast(state_A is null or state_B is null as double) as state_missing from linked_texts""",
     "candidates": candidate_rows(),
     "linker_distances": DISTANCES,
+    "linker_fit": LINKER_FIT,
     "lr_fit_predict": FIT_PREDICT,
     "one_to_one": ONE_TO_ONE,
     "block_costs": f"{cost(0)} union all {cost(1)}",

@@ -527,7 +527,7 @@ def linker_fit(spark, folder):
                                 lambda: linkage.fit_linker(examples))
     features = compare.linker_features(examples, "id_A", "id_B", "label")
     return models.predict(features, *models.weights(fitted)).select(
-        "id_A", "id_B", "label", "prediction", F.round("score", 4).alias("score"))
+        "id_A", "id_B", "label", "prediction", F.round("score", 2).alias("score"))
 
 
 def one_to_one(spark, folder):
