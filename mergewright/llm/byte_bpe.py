@@ -32,7 +32,7 @@ from mergewright.sources.staging import stage
 
 CHUNK = 1 << 16
 OVERLAP = 1 << 11
-CODED = "row long, doc_id long, n_tokens long, ids binary"
+CODED = "row long, doc_id long, n_tokens long, ids binary, bytes binary"
 
 
 def default_path() -> str:
@@ -110,14 +110,20 @@ def as_binary(rows: Iterable[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def encode(docs: DataFrame, path: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """row, doc_id, n_tokens, ids (uint32 little-endian) of each row of ``docs`` (doc_id, text)."""
+def encode(docs: DataFrame, path: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP,
+           decoded: bool = False) -> DataFrame:
+    """row, doc_id, n_tokens, ids (uint32 little-endian) of each row of ``docs`` (doc_id, text).
+
+    With ``decoded`` also ``bytes``, decoded from the ids in the same pass: a second Python step
+    would keep a second worker, with tables of its own, beside each task.
+    """
     context = docs.sparkSession.sparkContext
     ranks, pattern_text = read_ranks(path)
     held = context.broadcast(ranks)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        common.text_or_empty("text").alias("text"))
-    coded = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+    coded = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()),
+                       ("bytes", pa.binary())])
     chunks = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("number", pa.int64()), ("last", pa.bool_()),
                         ("text", pa.string())])
     seams = pa.schema([*chunks, ("head", pa.list_(pa.int64())), ("tail", pa.list_(pa.int64()))])
@@ -132,7 +138,8 @@ def encode(docs: DataFrame, path: str | None = None, chunk: int = CHUNK, overlap
                 ids = [code.encode(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), part.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()),
-                     pa.array(ids, pa.binary())], schema=coded)
+                     pa.array(ids, pa.binary()),
+                     pa.array([code.decode(i) if decoded else None for i in ids], pa.binary())], schema=coded)
 
     def explode(batches):
         for batch in batches:
@@ -185,13 +192,14 @@ def encode(docs: DataFrame, path: str | None = None, chunk: int = CHUNK, overlap
             for row, doc_id, broken, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 joined = b"".join(p["part"] for p in parts)
                 ids = code.encode(joined.decode()) if broken else joined
-                yield as_binary([(row, doc_id, len(ids) // 4, ids)], coded)
+                yield as_binary([(row, doc_id, len(ids) // 4, ids, code.decode(ids) if decoded else None)], coded)
 
     long_rows = (pieces.mapInArrow(encode_pieces, "row long, doc_id long, number long, broken int, part binary")
                  .groupBy("row", "doc_id", "broken")
                  .agg(F.array_sort(F.collect_list(F.struct("number", "part"))).alias("parts"))
                  .mapInArrow(whole, CODED))
-    return few.unionByName(long_rows)
+    out = few.unionByName(long_rows)
+    return out if decoded else out.drop("bytes")
 
 
 def decode(coded: DataFrame, path: str | None = None) -> DataFrame:
@@ -209,6 +217,6 @@ def decode(coded: DataFrame, path: str | None = None) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Encode and decode all documents: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    coded = decode(encode(common.table(spark, folder, "documents")))
+    coded = encode(common.table(spark, folder, "documents"), decoded=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("bytes", 256).alias("decoded_sha256"))
