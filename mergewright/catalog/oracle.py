@@ -462,6 +462,61 @@ select id_A, id_B, label, cast(1 / (1 + exp(-({LINKER_FITTED}))) >= 0.5 as integ
 from examples, weights"""
 
 
+def soundex(c: str) -> str:
+    """First letter and three digits; h and w are passed over, vowels and other signs part equal digits."""
+    upper = f"upper({c})"
+    codes = (f"translate(regexp_replace({upper}, '[^A-Z]', '0', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+             "'01230127022455012623017202')")
+    rest = f"case when {codes}[1] = '7' then '0' else {codes}[1] end || replace({codes}[2:], '7', '')"
+    for digit in "123456":
+        rest = f"regexp_replace({rest}, '{digit}+', '{digit}', 'g')"
+    return (f"case when regexp_matches({upper}, '^[A-Z]') then {upper}[1] || "
+            f"rpad(replace(({rest})[2:], '0', '')[1:3], 3, '0') else {c} end")
+
+
+def text_keys(c: str) -> dict[str, str]:
+    return {f"{c}_whole": c, f"{c}_first3": f"substr({c}, 1, 3)", f"{c}_first5": f"substr({c}, 1, 5)",
+            f"{c}_token": f"split_part({c}, ' ', 1)", f"{c}_sound": soundex(c)}
+
+
+PREDICATES = {**text_keys("model"), **text_keys("make"), "year_whole": "year", "state_whole": "state"}
+for _c in ("price", "mileage"):
+    PREDICATES[f"{_c}_log"] = f"cast(case when {_c} > 0 then floor(log10({_c}) * 10) end as varchar)"
+    PREDICATES[f"{_c}_whole"] = f"cast(round({_c}) as varchar)"
+TABLES["train_pairs"] = "select g.* from gt1 g join train t on t.id_A = g.id_A and t.id_B = g.id_B and t.label = g.label"
+_N = len(PREDICATES)
+# Matches by the predicates they agree in, rules of one to three of them, pairs that each brings together, and the
+# greedy choice by newly covered matches per pair.
+BLOCK_LEARN = f"""with recursive keyed as (select source, id, [{', '.join(PREDICATES.values())}] as keys
+    from ({records(texts=True).replace('from gt1', 'from train_pairs')})),
+signatures as (select s, count(*) as n, row_number() over (order by s) as sig from (
+    select list_filter(range(1, {_N + 1}), lambda i: a.keys[i] = b.keys[i]) as s from links l
+    join keyed a on a.source = 'A' and a.id = l.id_A join keyed b on b.source = 'B' and b.id = l.id_B) group by s),
+one as (select range as i from range(1, {_N + 1})),
+rules as (select [i] as terms from one union all select [a.i, b.i] from one a join one b on a.i < b.i union all
+    select [a.i, b.i, c.i] from one a join one b on a.i < b.i join one c on b.i < c.i),
+covers as (select terms, list(sig order by sig) as cover from rules join signatures on list_has_all(s, terms) group by terms),
+useful as (select *, array_to_string(list_transform(terms, lambda t: [{', '.join(f"'{p}'" for p in PREDICATES)}][t]), ' & ')
+    as name from covers c where not exists (select 1 from covers o where o.cover = c.cover
+    and len(o.terms) > len(c.terms) and list_has_all(o.terms, c.terms))),
+blocks as (select terms, block, count(*) filter (source = 'A') as a, count(*) filter (source = 'B') as b from (
+    select terms, source, list_transform(terms, lambda t: keys[t]) as block from useful, keyed)
+    where len(list_filter(block, lambda x: x is null)) = 0 group by terms, block),
+costs as (select u.*, coalesce(p.pairs, 0.0) as pairs from useful u
+    left join (select terms, sum(a::double * b) as pairs from blocks group by terms) p on p.terms = u.terms),
+chosen(position, rule, newly_covered, pairs, rest) as (
+    select 0, '', 0::bigint, 0.0::double, (select list(sig order by sig) from signatures)
+    union all
+    select position + 1, name, gain::bigint, pairs_of, list_filter(rest, lambda x: not list_contains(cover, x)) from (
+        select *, row_number() over (order by gain / coalesce(nullif(pairs_of, 0), least_pairs) desc, gain desc, name desc) as r
+        from (select h.position, h.rest, u.name, u.cover, u.pairs as pairs_of,
+                     (select min(pairs) from costs where pairs > 0) as least_pairs,
+                     list_sum(list_transform(list_intersect(u.cover, h.rest), lambda x: c.counts[x])) as gain
+              from chosen h, costs u, (select list(n order by sig) as counts from signatures) c)
+        where gain > 0) where r = 1)
+select position, rule, newly_covered, pairs from chosen where position > 0"""
+
+
 STATEMENTS: dict[str, str] = {
     "scan_text_na": f"select {', '.join(B_COLUMNS)} from null_b",
     "scan_typed": "select * from orders",
@@ -587,6 +642,7 @@ STATEMENTS: dict[str, str] = {
     "linker_fit": LINKER_FIT,
     "lr_fit_predict": FIT_PREDICT,
     "one_to_one": ONE_TO_ONE,
+    "block_learn": BLOCK_LEARN,
     "block_costs": f"{cost(0)} union all {cost(1)}",
     "profile_copies": f"select source, copies, {', '.join(COMPARED)} from profiles",
     "one_to_one_round1": f"""select id_A, id_B, score from (

@@ -49,7 +49,7 @@ def engine():
 def test_every_reference_belongs_to_a_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
     assert set(driver.queries()) - set(driver.oracle_sql()) == {
-        "block_learn", "link_join", *WITHOUT_SQL}
+        "link_join", *WITHOUT_SQL}
 
 
 @pytest.mark.parametrize("name", CHOSEN)
