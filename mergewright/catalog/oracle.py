@@ -377,27 +377,27 @@ TEXT_FIELDS = ("model", "make", "year", "state")
 # Cheapest alignments of distinct pairs of texts, one character of the first text a step. ``ends`` has the
 # cost of each prefix of the second text, ``gaps`` that of ending in a gap there. A gap in the other text that ends at j
 # began after some k < j, so it is a minimum over k.
-def distances(texts: str) -> str:
+def distances(texts: str, far: str = "far") -> str:
     """Recursive tables that end in ``far(a, b, d)``: distances of all distinct pairs of texts in ``texts``."""
-    return f"""distinct_texts as ({' union '.join(
+    return f"""distinct_{far} as ({' union '.join(
     f'select {f}_A as a, {f}_B as b from {texts} where {f}_A <> {f}_B' for f in TEXT_FIELDS)}),
-aligned(a, b, i, ends, gaps) as (
+aligned_{far}(a, b, i, ends, gaps) as (
     select a, b, 0, list_transform(range(0, length(b) + 1), lambda j: case when j = 0 then 0.0 else 10 + 7.0 * j end),
-           list_transform(range(0, length(b) + 1), lambda j: 1e18) from distinct_texts
+           list_transform(range(0, length(b) + 1), lambda j: 1e18) from distinct_{far}
     union all
     select a, b, i, list_transform(range(1, length(b) + 2), lambda j: case when j = 1 then base[1] else
                least(base[j], 7 * j + 10 + list_min(list_transform(range(1, j), lambda k: base[k] - 7 * k))) end), gaps
     from (select a, b, i, gaps, list_transform(range(1, length(b) + 2), lambda j: case when j = 1 then gaps[1] else
                least(gaps[j], ends[j - 1] + case when substr(b, j - 1, 1) = substr(a, i, 1) then 1 else 11 end) end) as base
           from (select a, b, i + 1 as i, ends, list_transform(range(1, length(b) + 2), lambda j:
-                    least(ends[j] + 10, gaps[j]) + 7) as gaps from aligned where i < length(a)))),
-far as (select a, b, ends[length(b) + 1] / (length(a) + length(b)) as d from aligned where i = length(a))"""
+                    least(ends[j] + 10, gaps[j]) + 7) as gaps from aligned_{far} where i < length(a)))),
+{far} as (select a, b, ends[length(b) + 1] / (length(a) + length(b)) as d from aligned_{far} where i = length(a))"""
 
 
-def with_distances(texts: str) -> tuple[str, str]:
+def with_distances(texts: str, far: str = "far") -> tuple[str, str]:
     """The distances of the text fields as columns (null where a side is missing), and the joins they need."""
     columns = ", ".join(f"case when {f}_A = {f}_B then 0.5 else {f}_far.d end as {f}" for f in TEXT_FIELDS)
-    joins = " ".join(f"left join far {f}_far on {f}_far.a = {f}_A and {f}_far.b = {f}_B" for f in TEXT_FIELDS)
+    joins = " ".join(f"left join {far} {f}_far on {f}_far.a = {f}_A and {f}_far.b = {f}_B" for f in TEXT_FIELDS)
     return columns, f"{texts} {joins}"
 
 
@@ -451,12 +451,13 @@ MISSABLE = ["year", "price", "mileage", "state"]
 LINKER = [*LINKER_FIELDS, *[f"{c}_missing" for c in MISSABLE]]
 EXAMPLE_COLUMNS, EXAMPLES = with_distances("example_texts")
 LINKER_FITTED = " + ".join([*(f"w[{i + 1}] * {c}" for i, c in enumerate(LINKER)), f"w[{len(LINKER) + 1}]"])
-LINKER_FIT = f"""with recursive {distances('example_texts')},
+LINKER_TABLES = f"""{distances('example_texts')},
 measured as (select id_A, id_B, label, {EXAMPLE_COLUMNS}, {log_distance('price')} as price,
     {log_distance('mileage')} as mileage from {EXAMPLES}),
 examples as (select id_A, id_B, label, {', '.join(f'coalesce({c}, 0.0) as {c}' for c in LINKER_FIELDS)},
     {', '.join(f'cast({c} is null as double) as {c}_missing' for c in MISSABLE)} from measured),
-{newton(f"select {', '.join(LINKER)}, label as y, count(*) as n from examples group by all", LINKER)}
+{newton(f"select {', '.join(LINKER)}, label as y, count(*) as n from examples group by all", LINKER)}"""
+LINKER_FIT = f"""with recursive {LINKER_TABLES}
 select id_A, id_B, label, cast(1 / (1 + exp(-({LINKER_FITTED}))) >= 0.5 as integer) as prediction,
        round(1 / (1 + exp(-({LINKER_FITTED}))), 2) as score
 from examples, weights"""
@@ -487,7 +488,7 @@ TABLES["train_pairs"] = "select g.* from gt1 g join train t on t.id_A = g.id_A a
 _N = len(PREDICATES)
 # Matches by the predicates they agree in, rules of one to three of them, pairs that each brings together, and the
 # greedy choice by newly covered matches per pair.
-BLOCK_LEARN = f"""with recursive keyed as (select source, id, [{', '.join(PREDICATES.values())}] as keys
+BLOCK_TABLES = f"""keyed as (select source, id, [{', '.join(PREDICATES.values())}] as keys
     from ({records(texts=True).replace('from gt1', 'from train_pairs')})),
 signatures as (select s, count(*) as n, row_number() over (order by s) as sig from (
     select list_filter(range(1, {_N + 1}), lambda i: a.keys[i] = b.keys[i]) as s from links l
@@ -513,10 +514,65 @@ chosen(position, rule, newly_covered, pairs, rest) as (
                      (select min(pairs) from costs where pairs > 0) as least_pairs,
                      list_sum(list_transform(list_intersect(u.cover, h.rest), lambda x: c.counts[x])) as gain
               from chosen h, costs u, (select list(n order by sig) as counts from signatures) c)
-        where gain > 0) where r = 1)
+        where gain > 0) where r = 1)"""
+BLOCK_LEARN = f"""with recursive {BLOCK_TABLES}
 select position, rule, newly_covered, pairs from chosen where position > 0"""
 
 
+def json_of(columns) -> str:
+    """The row as Spark writes it: fields without a value are left out."""
+    parts = ", ".join(
+        f"""'"{c}":' || """ + (f"cast({c} as varchar)" if c in ("price", "mileage") else f"""'"' || {c} || '"'""")
+        for c in columns)
+    return f"""'{{' || array_to_string(list_filter([{parts}], lambda x: x is not null), ',') || '}}'"""
+
+
+TABLES["test_pairs"] = """select g.* from gt1 g join split_b1 s on s.id_A = g.id_A and s.id_B = g.id_B
+    and s.label = g.label where s.split = 'test'"""
+FAR_COLUMNS, FAR_JOINED = with_distances("met_texts", "far_met")
+# The whole linker: rules and weights learned above, profiles of the test records, pairs of profiles that meet under a
+# rule, their scores, the greedy assignment with copies, and the records behind the copies' numbers.
+LINK_JOIN = f"""with recursive {LINKER_TABLES},
+{BLOCK_TABLES},
+test_records as (select *, sha256({json_of(COMPARED)}) as profile
+    from ({records(texts=True).replace('from gt1', 'from test_pairs')})),
+test_profiles as (select source, profile, {', '.join(f'min({c}) as {c}' for c in COMPARED)}, count(*) as copies
+    from test_records group by source, profile),
+test_keys as (select *, [{', '.join(PREDICATES.values())}] as keys from test_profiles),
+filed as (select source, profile, name, list_transform(terms, lambda t: keys[t]) as block
+    from test_keys, (select distinct terms, name from useful where name in (select rule from chosen where position > 0))),
+met_texts as (select distinct a.profile as id_A, b.profile as id_B from filed a join filed b on a.source = 'A'
+    and b.source = 'B' and a.name = b.name and a.block = b.block
+    where len(list_filter(a.block, lambda x: x is null)) = 0),
+met_rows as (select m.id_A, m.id_B, a.copies as copies_A, b.copies as copies_B, {', '.join(
+        f'{s.lower()}.{c} as {c}_{s}' for c in COMPARED for s in ('A', 'B'))} from met_texts m
+    join test_profiles a on a.source = 'A' and a.profile = m.id_A
+    join test_profiles b on b.source = 'B' and b.profile = m.id_B),
+{distances('met_rows', 'far_met')},
+met_far as (select id_A, id_B, copies_A, copies_B, {FAR_COLUMNS}, {log_distance('price')} as price,
+    {log_distance('mileage')} as mileage from {FAR_JOINED.replace('met_texts', 'met_rows', 1)}),
+met_features as (select id_A, id_B, copies_A, copies_B, {', '.join(f'coalesce({c}, 0.0) as {c}' for c in LINKER_FIELDS)},
+    {', '.join(f'cast({c} is null as double) as {c}_missing' for c in MISSABLE)} from met_far),
+open_pairs(id_A, id_B, score, tie, copies_A, copies_B, from_A, from_B, turn) as (
+    select id_A, id_B, score, {digest('id_A', 'id_B')}, copies_A, copies_B, 0::bigint, 0::bigint, 1
+    from (select *, 1 / (1 + exp(-({LINKER_FITTED}))) as score from met_features, weights) where score >= 0.5
+    union all
+    select id_A, id_B, score, tie, copies_A, copies_B, from_A + used_a, from_B + used_b, turn + 1 from (
+        select *, sum(case when best then least(copies_A - from_A, copies_B - from_B) else 0 end)
+                      over (partition by id_A)::bigint as used_a,
+               sum(case when best then least(copies_A - from_A, copies_B - from_B) else 0 end)
+                      over (partition by id_B)::bigint as used_b from {best_of_both('open_pairs')})
+    where from_A + used_a < copies_A and from_B + used_b < copies_B),
+taken as (select *, least(copies_A - from_A, copies_B - from_B) as take from {best_of_both('open_pairs', 'turn')} where best),
+numbers as (select id_A as profile_A, id_B as profile_B, score, from_A + place as number_A, from_B + place as number_B
+    from (select *, unnest(range(1, take + 1)) as place from taken)),
+numbered as (select source, profile, id, row_number() over (partition by source, profile order by {digest('id')}, id) as number
+    from test_records)
+select a.id as id_A, b.id as id_B, round(score, 2) as score from numbers n
+join numbered a on a.source = 'A' and a.profile = profile_A and a.number = number_A
+join numbered b on b.source = 'B' and b.profile = profile_B and b.number = number_B"""
+
+
 STATEMENTS: dict[str, str] = {
     "scan_text_na": f"select {', '.join(B_COLUMNS)} from null_b",
     "scan_typed": "select * from orders",
@@ -643,6 +699,7 @@ STATEMENTS: dict[str, str] = {
     "lr_fit_predict": FIT_PREDICT,
     "one_to_one": ONE_TO_ONE,
     "block_learn": BLOCK_LEARN,
+    "link_join": LINK_JOIN,
     "block_costs": f"{cost(0)} union all {cost(1)}",
     "profile_copies": f"select source, copies, {', '.join(COMPARED)} from profiles",
     "one_to_one_round1": f"""select id_A, id_B, score from (

@@ -548,7 +548,7 @@ def link_join(spark, folder):
     splits = stage(split_of(spark, folder), "splits")
     result = linkage.train_and_link(splits.filter(F.col("split") == "train"),
                                     splits.filter(F.col("split") == "test"))
-    return result.links.select("id_A", "id_B", F.round("score", 4).alias("score"))
+    return result.links.select("id_A", "id_B", F.round("score", 2).alias("score"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
