@@ -162,9 +162,10 @@ def groups(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), digest("text").alias("sha"),
         F.length(common.text_or_empty("text")).alias("points"), F.monotonically_increasing_id().alias("row")), "digests")
     once, more = Repeats(narrow.select("sha"), filter_bytes).split(narrow, "sha")
-    best = more.groupBy("sha").agg(
+    # Staged, so that both sides of the join are shuffled and a hot digest can be split at run time.
+    best = stage(more.groupBy("sha").agg(
         F.min(F.struct((-F.col("points")).alias("less"), "doc_id", "row")).alias("best"),
-        F.count("*").alias("group_size"))
+        F.count("*").alias("group_size")), "groups")
     hexed = F.lower(F.hex("sha")).alias("text_sha256")
     return (more.join(best, "sha").select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
