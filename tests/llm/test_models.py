@@ -53,7 +53,8 @@ def insults(spark):
         words = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(40)]
         toxic = i % 4 == 0
         if toxic:
-            words[7:7] = ["idiot"] if i % 8 else [f"zorg{words[3]}", f"zorg{words[4]}"]
+            # In place of other words, so that the length tells nothing.
+            words[7:9] = ["idiot", words[8]] if i % 8 else [f"zorg{words[3]}", f"zorg{words[4]}"]
         rows.append((i, " ".join(words)))
         labels.append((i, int(toxic)))
     return (spark.createDataFrame(rows, "doc_id long, text string"),
