@@ -461,10 +461,11 @@ def links_intersect(spark, folder):
 
 
 def links_except(spark, folder):
-    scored = fixed_scores(spark, folder)
-    true, predicted = pairs.true_links(scored), predicted_links(scored)
-    return (predicted.subtract(true).withColumn("kind", F.lit("false_positive"))
-            .unionByName(true.subtract(predicted).withColumn("kind", F.lit("false_negative"))))
+    # Both differences in one pass: a link's label and prediction side by side.
+    links = fixed_scores(spark, folder).groupBy("id_A", "id_B").agg(
+        F.max("label").alias("label"), F.max("prediction").alias("prediction"))
+    kind = F.when(F.col("prediction") == 1, "false_positive").otherwise("false_negative")
+    return links.filter(F.col("label") != F.col("prediction")).select("id_A", "id_B", kind.alias("kind"))
 
 
 def links_distinct(spark, folder):
