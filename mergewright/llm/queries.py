@@ -18,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op10_ngram_jaccard_join": near_join.OP10_SQL,
     "op1_url_filters": url_filter.OP1_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op7_host_quality": host_quality.OP7_SQL,
