@@ -34,14 +34,27 @@ def in_test_fold(doc_id: Column | str) -> Column:
 
 
 def worker_cache(name: str, make: Callable[[], Any]) -> Any:
-    """An object kept by a Python worker between tasks (functions are sent by value, so their globals are not)."""
+    """An object kept by a Python worker between tasks (functions are sent by value, so their globals are not).
+
+    A worker keeps one object: a function that asks for another, or for none
+    (``forget_worker_cache``), frees what an earlier stage left in it.
+    """
     store = sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache"))
-    if not hasattr(store, name):
-        setattr(store, name, make())
-    return getattr(store, name)
+    held = vars(store).setdefault("held", {})
+    if name not in held:
+        held.clear()
+        held[name] = make()
+    return held[name]
+
+
+def forget_worker_cache() -> None:
+    """For functions that keep nothing: drop what an earlier stage kept, and Arrow's unused memory."""
+    if "_llm_worker_cache" in sys.modules:
+        vars(sys.modules["_llm_worker_cache"]).get("held", {}).clear()
+    pa.default_memory_pool().release_unused()
 
 
-def slices(batch: pa.RecordBatch, column: str, budget: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, budget: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts of a slice have about ``budget`` bytes (one longer text is a slice)."""
     import numpy as np
     import pyarrow.compute as pc
@@ -52,6 +65,8 @@ def slices(batch: pa.RecordBatch, column: str, budget: int = 8 << 20) -> Iterato
     for start, end in zip(edges, edges[1:], strict=False):
         if end > start:
             yield batch.slice(start, end - start)
+            # What a slice used goes back to the system before the next one.
+            pa.default_memory_pool().release_unused()
 
 
 def bounded_sample(docs: DataFrame, keys: DataFrame, by: str, bound: int) -> DataFrame:

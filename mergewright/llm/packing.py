@@ -23,8 +23,10 @@ from mergewright.llm import common, tokens
 
 WINDOW = 2048
 #: Tokens and pieces of a block, the memory bound of a task (4 bytes a token).
-BLOCK_TOKENS = 16 << 20
+BLOCK_TOKENS = 8 << 20
 BLOCK_PIECES = 1 << 17
+#: Distinct parts that a worker's encoder keeps here; a task also holds a block.
+KEEP, SLICE_BYTES = 200_000, 2 << 20
 SEQUENCES = ("sequence_id long, filled long, padded long, ids binary, "
              "pieces array<struct<doc_id:long,start:long,length:long,doc_tokens:long,offset:long>>")
 
@@ -113,7 +115,7 @@ def pack(docs: DataFrame, window: int = WINDOW, end_id: int = 1, path: str | Non
     def run(batches):
         from pyspark import TaskContext
 
-        encoder = tokens.worker_encoder(text.value)
+        encoder = tokens.worker_encoder(text.value, KEEP)
         number = TaskContext.get().partitionId() << 33
         end = np.array([end_id], np.uint32)
         rests, held = [], 0
@@ -131,7 +133,7 @@ def pack(docs: DataFrame, window: int = WINDOW, end_id: int = 1, path: str | Non
             yield from emit(done)
 
         for batch in batches:
-            for part in common.slices(batch, "text"):
+            for part in common.slices(batch, "text", SLICE_BYTES):
                 full = []
                 doc_ids = part.column("doc_id").to_pylist()
                 for doc_id, ids in zip(doc_ids, encoder.encode(part.column("text")), strict=True):

@@ -10,7 +10,6 @@ encoded whole, since such runs do not fall apart at each blank.
 
 from __future__ import annotations
 
-import json
 import zlib
 from collections.abc import Sequence
 from itertools import repeat
@@ -29,6 +28,10 @@ SIMPLE = r"^ ?\p{L}+[^\s\x00-\x20\x7f-\x{a0}\p{L}\p{N}\p{M}\p{Z}']?\z"
 CUT = r"^( ?\p{L}+)([^\p{L}])\z"
 
 
+#: Distinct parts a worker keeps: some 100 MB.
+KEEP = 400_000
+
+
 def byte_letters() -> dict[int, str]:
     """The printable stand-in of each byte: printable bytes stand for themselves, the rest follow from 256 on."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -39,20 +42,17 @@ def byte_letters() -> dict[int, str]:
 class Encoder:
     """Encodes texts; keeps up to ``keep`` distinct parts for later batches."""
 
-    def __init__(self, definition: str, keep: int = 400_000):
+    def __init__(self, definition: str, keep: int = KEEP):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.whole = Tokenizer.from_str(definition)
-        self.whole.encode_special_tokens = True
-        bare = json.loads(definition)
-        bare["pre_tokenizer"] = bare["post_processor"] = bare["decoder"] = None
-        bare["added_tokens"] = []
-        self.bare = Tokenizer.from_str(json.dumps(bare))
-        self.bare.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
-        self.mark = self.bare.token_to_id("Ċ")
+        self.tokenizer = Tokenizer.from_str(definition)
+        self.tokenizer.encode_special_tokens = True
+        # One vocabulary in memory: the pre-tokeniser is exchanged for parts that are cut already.
+        self.byte_level, self.lines = self.tokenizer.pre_tokenizer, pre_tokenizers.Split("\n", "removed")
+        self.mark = self.tokenizer.token_to_id("Ċ")
         self.letters = byte_letters()
         self.table = {b: c for b, c in self.letters.items() if b not in (0, 10)}
         self.keep = keep
@@ -63,12 +63,21 @@ class Encoder:
         self.used = 0
 
     def _encode_whole(self, texts: Sequence[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.whole.encode_batch_fast(list(texts), add_special_tokens=False)]
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(
+            list(texts), add_special_tokens=False)]
+
+    def _encode_lines(self, lines: str) -> np.ndarray:
+        """Ids of lines that are single pre-tokens in byte stand-ins."""
+        self.tokenizer.pre_tokenizer = self.lines
+        try:
+            return np.array(self.tokenizer.encode_batch_fast([lines], add_special_tokens=False)[0].ids, np.uint32)
+        finally:
+            self.tokenizer.pre_tokenizer = self.byte_level
 
     def _learn(self, parts: pa.Array) -> None:
         """Add distinct parts to the store.
 
-        Parts of letters with at most one sign go through the bare model, many
+        Parts of letters with at most one sign go to the model many
         in one call: their pre-tokens are known, so they are handed over
         already cut, in byte stand-ins, and a stand-in of the line feed (a
         token of its own) ends each part.
@@ -86,7 +95,7 @@ class Encoder:
                 else:
                     joined = joined.replace(" ", self.letters[32])
                 joined = joined.replace("\0", self.letters[10])
-                ids = np.array(self.bare.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
+                ids = self._encode_lines(joined)
                 ends = np.flatnonzero(ids == self.mark)
                 starts = np.concatenate([[0], ends[:-1] + 1])
                 self._add(block, ids, starts, ends - starts)
@@ -153,9 +162,9 @@ class Encoder:
         return out  # type: ignore[return-value]
 
 
-def worker_encoder(text: str) -> Encoder:
+def worker_encoder(text: str, keep: int = KEEP) -> Encoder:
     """The worker's encoder for a definition."""
-    return common.worker_cache(f"encoder-{zlib.crc32(text.encode())}", lambda: Encoder(text))
+    return common.worker_cache(f"encoder-{zlib.crc32(text.encode())}-{keep}", lambda: Encoder(text, keep))
 
 
 def default_path() -> str:

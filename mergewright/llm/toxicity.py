@@ -94,6 +94,7 @@ def tokens_of(text: str) -> tuple[set[str], set[str]]:
 def learned_lexicon(sample: DataFrame, toxic: int, other: int) -> tuple[dict[str, float], dict[str, float]]:
     """Words and beginnings with a high ratio between toxic and other rows; counting is spread, the lexicon is bounded."""
     def count(batches):
+        common.forget_worker_cache()
         totals: dict[tuple[bool, str], list[int]] = {}
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
@@ -136,6 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model
     words, stems = learned_lexicon(fitted, by_part.get((True, 1), 0), by_part.get((True, 0), 0))
 
     def measure(batches):
+        common.forget_worker_cache()
         for batch in batches:
             x = [np.array(features(t, words, stems)).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), batch.column("part"),
@@ -161,6 +163,7 @@ def scorer(model: Model, spark: SparkSession):
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
+        common.forget_worker_cache()
         m = Model(**held.value)
         return pa.array(np.concatenate([m.scores([t or "" for t in texts.slice(i, 512).to_pylist()])
                                         for i in range(0, max(len(texts), 1), 512)]), pa.float64())
