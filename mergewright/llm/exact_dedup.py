@@ -18,6 +18,8 @@ then, for repeated rows, one of them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,8 +45,8 @@ def slice_of(sha: Column | str, slices: int) -> Column:
 
 
 def positions(shas: pa.Array, bits: int) -> np.ndarray:
-    """The bits of each digest: rows by hashes."""
-    words = np.frombuffer(b"".join(shas.to_pylist()), "<u8").reshape(-1, 4)
+    """The bits of each digest (of 16 bytes or more): rows by hashes."""
+    words = np.frombuffer(b"".join(shas.to_pylist()), "<u8").reshape(len(shas), -1)
     steps = np.arange(HASHES, dtype=np.uint64)
     return ((words[:, :1] + steps * (words[:, 1:2] | np.uint64(1))) % np.uint64(bits)).astype(np.int64)
 
@@ -58,8 +60,8 @@ def set_all(bitmap: np.ndarray, at: np.ndarray) -> None:
     np.bitwise_or.at(bitmap, flat >> 3, np.left_shift(1, flat & 7).astype(np.uint8))
 
 
-def repeated_bits(shas: DataFrame, bits: int) -> np.ndarray:
-    """Pass 1: the bits that were set twice.
+def filter_bits(shas: DataFrame, bits: int, which: str = "twice") -> np.ndarray:
+    """Pass 1: the bits that were set twice, or with ``which`` "seen" all that were set.
 
     Each task fills two bitmaps, bits seen and bits seen twice. Their touched
     chunks are merged by chunk number: a bit that two tasks saw is a bit seen
@@ -69,6 +71,7 @@ def repeated_bits(shas: DataFrame, bits: int) -> np.ndarray:
     chunk = min(CHUNK, size)
 
     def fill(batches):
+        common.forget_worker_cache()
         seen, twice = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
         for batch in batches:
             if not batch.num_rows:
@@ -98,10 +101,11 @@ def repeated_bits(shas: DataFrame, bits: int) -> np.ndarray:
         yield from emit(chunks)
 
     kind = "chunk int, seen binary, twice binary"
-    merged = (shas.mapInArrow(fill, kind).repartition("chunk").mapInArrow(merge, kind).select("chunk", "twice"))
+    merged = (shas.mapInArrow(fill, kind).repartition("chunk").mapInArrow(merge, kind)
+              .select("chunk", F.col(which).alias("bitmap")))
     out = np.zeros(size, np.uint8)
     for row in merged.toLocalIterator():
-        out[row.chunk * chunk:(row.chunk + 1) * chunk] = np.frombuffer(row.twice, np.uint8)
+        out[row.chunk * chunk:(row.chunk + 1) * chunk] = np.frombuffer(row.bitmap, np.uint8)
     return out
 
 
@@ -121,7 +125,7 @@ class Repeats:
         self.filters = []
         for i in range(self.slices):
             some = shas if self.slices == 1 else shas.filter(slice_of("sha", self.slices) == i)
-            self.filters.append(spark.sparkContext.broadcast(repeated_bits(some.select("sha"), self.bits)))
+            self.filters.append(spark.sparkContext.broadcast(filter_bits(some.select("sha"), self.bits)))
 
     def maybe(self, sha: Column, i: int) -> Column:
         """Pass 2: whether a digest of slice ``i`` may occur twice (never false for one that does)."""
@@ -144,6 +148,21 @@ class Repeats:
         return union(once), union(more)
 
 
+def member_filter(keys: DataFrame, filter_bytes: int = FILTER_BYTES) -> Callable[[Column], Column]:
+    """Whether a digest may be among ``keys`` (one column, not null): never false for one that is.
+
+    The filter has a bounded size; past it more digests are taken in, none is lost.
+    """
+    bits = bits_for(keys.count(), filter_bytes)
+    held = keys.sparkSession.sparkContext.broadcast(filter_bits(keys, bits, "seen"))
+
+    @F.arrow_udf("boolean")
+    def ask(shas: pa.Array) -> pa.Array:
+        return pa.array(has_all(held.value, positions(shas, bits)) if len(shas) else [], pa.bool_())
+
+    return ask
+
+
 def union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for frame in frames[1:]:

@@ -3,7 +3,8 @@
 1. Each text becomes a set of word shingles (see ``shingles``), a digest of the set and a
    signature. Texts with the same set are copies: one class, one row from here on.
 2. A forest has ``TREES`` prefix tries; in each, a class is filed under ``DEPTH`` hash values. Classes that
-   share a prefix meet in a bucket. Prefixes start long and are shortened until
+   share a prefix meet in a bucket. Prefixes start as long as a pair at the threshold
+   still meets almost surely (``SURE``), and are shortened until
    the estimated share of found pairs reaches the target: each pair found at
    estimated similarity s stands for 1/p pairs, p being its chance to meet at that depth.
    In a bucket, signatures drop chance meetings, and what is left is told as a
@@ -28,15 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mergewright.llm import common, shingles
+from mergewright.llm import common, exact_dedup, shingles
 from mergewright.sources.staging import stage
 
 TREES, DEPTH, SHORTEST = 16, 8, 4
 THRESHOLD = 0.8
-TARGET_RECALL = 0.98
+TARGET_RECALL, SURE = 0.995, 0.99
 #: Estimated similarity below which a meeting is taken for chance: over 4 deviations below the threshold.
 CHANCE = 0.62
-BUCKET_BLOCK, GROUP_BLOCK = 2048, 1024
+#: Rows of a block; a block of a group also has so many shingles a row at most, on average.
+BUCKET_BLOCK, GROUP_BLOCK, SHINGLES_PER_ROW = 2048, 1024, 512
 SIGNED = "row long, doc_id long, text_key binary, n_shingles int, digest binary, signature binary"
 
 
@@ -50,6 +52,7 @@ def sign(docs: DataFrame) -> DataFrame:
                        text_key().alias("text_key"), common.text_or_empty("text").alias("text"))
 
     def run(batches):
+        common.forget_worker_cache()
         a, b = shingles.permutations(TREES * DEPTH)
         for batch in batches:
             for part in common.slices(batch, "text"):
@@ -138,6 +141,7 @@ def meet(members: DataFrame, sizes: DataFrame, depth: int) -> DataFrame:
         "bucket", "left", "right", "rep")
 
     def run(batches):
+        common.forget_worker_cache()
         for table in runs(batches, ["bucket", "left", "right"]):
             rep, own = table["rep"].to_numpy(), table["own"].to_numpy()
             n = len(rep)
@@ -176,10 +180,13 @@ def meet(members: DataFrame, sizes: DataFrame, depth: int) -> DataFrame:
             .mapInArrow(run, "a long, b long, found long, stood double"))
 
 
-def candidate_links(reps: DataFrame, target: float = TARGET_RECALL) -> DataFrame:
-    """Links between classes that met, from the longest prefix on that reaches the target recall."""
+def candidate_links(reps: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_RECALL,
+                    sure: float = SURE) -> DataFrame:
+    """Links between classes that met, under the longest prefix that reaches the target recall."""
     signed = reps.filter("n_shingles > 0").select("rep", "signature")
     for depth in range(DEPTH, SHORTEST - 1, -1):
+        if depth > SHORTEST and meets(np.float64(threshold), depth) < sure:
+            continue
         filed = signed.select("rep", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "signature").select(
             "rep", "tree", F.xxhash64("tree", F.substring(
                 "signature", F.col("tree") * 2 * DEPTH + 1, F.lit(2 * depth))).alias("bucket"))
@@ -228,11 +235,12 @@ def unfinished(edges: DataFrame) -> bool:
 def verify(docs: DataFrame, reps: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """All pairs of each candidate group by their shingle sets: rep, root, and rows linked to."""
     members = (groups.select(F.col("node").alias("rep"), "component")
-               .join(reps.select("rep", "copies", "text_key"), "rep"))
+               .join(reps.select("rep", "copies", "n_shingles", "text_key"), "rep"))
     texts = docs.select(text_key().alias("text_key"), common.text_or_empty("text").alias("text")).groupBy("text_key").agg(
         F.first("text").alias("text"))
 
     def to_sets(batches):
+        common.forget_worker_cache()
         for batch in batches:
             for part in common.slices(batch, "text"):
                 sets = shingles.shingle_sets(part.column("text"))
@@ -242,11 +250,14 @@ def verify(docs: DataFrame, reps: DataFrame, groups: DataFrame, threshold: float
 
     with_sets = (members.join(texts, "text_key").select("component", "rep", "copies", "text")
                  .mapInArrow(to_sets, "component long, rep long, copies long, shingles binary"))
-    sizes = stage(groups.groupBy("component").agg(F.count("*").alias("size")), "sizes")
+    # Long texts count as several rows, so that a block's shingles are bounded as its rows are.
+    weight = F.greatest(F.count("*"), F.ceil(F.sum("n_shingles") / F.lit(SHINGLES_PER_ROW)))
+    sizes = stage(members.groupBy("component").agg(weight.cast("long").alias("size")), "sizes")
     dealt = (blocks(with_sets, sizes, ["component"], GROUP_BLOCK).repartition("component", "left", "right")
              .sortWithinPartitions("component", "left", "right", "rep"))
 
     def run(batches):
+        common.forget_worker_cache()
         for table in runs(batches, ["component", "left", "right"]):
             rep, own, copies = (table[c].to_numpy() for c in ("rep", "own", "copies"))
             sets = [np.frombuffer(b, "<u8") for b in table["shingles"].to_pylist()]
@@ -279,7 +290,7 @@ def similar_pairs(sets: list[np.ndarray], threshold: float, columns: int = 4096)
     sizes = np.array([len(s) for s in sets], np.int64)
     if n == 2:
         common_count = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        if common_count >= threshold * (sizes.sum() - common_count):
+        if common_count >= threshold * (sizes.sum() - common_count) - 1e-9:
             yield 0, np.array([1])
         return
     names, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -307,7 +318,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_R
     """(signed rows, classes): a class row per shingle set that is linked to another: digest, root, links."""
     signed = stage(sign(docs), "signed")
     reps = stage(representatives(signed), "representatives")
-    groups = stage(components(candidate_links(reps, target)), "groups")
+    groups = stage(components(candidate_links(reps, threshold, target)), "groups")
     verified = stage(verify(docs, reps, groups, threshold), "verified")
     classes = components(verified.select("a", "b"))
     links = verified.groupBy("a").agg(F.sum("links").alias("links"))
@@ -349,16 +360,44 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARG
         F.min(F.struct((-F.col("n_shingles")).alias("less"), "min_doc", "rep")).alias("best"),
         F.sum("copies").alias("rows")).filter("rows > 1"), "best")
     # By digest: whether it stays; by text: likewise, since equal texts have equal digests.
-    chosen = stage(reps.join(best, "root").select("digest", (F.col("rep") == F.col("best.rep")).alias("stays")), "chosen")
-    verdicts = stage(signed.select("text_key", "digest").distinct().join(chosen, "digest"), "verdicts")
-    keyed = docs.withColumn("__key", text_key())
-    judged = keyed.join(verdicts.select(F.col("text_key").alias("__key"), F.col("digest").alias("__digest"),
-                                        F.col("stays").alias("__stays")), "__key", "left")
-    alone = judged.filter("__stays is null").select(*columns)
-    one = (judged.filter("__stays").groupBy("__digest")
-           .agg(F.min_by(F.struct(*columns), F.struct(F.col("doc_id"), F.col("text"))).alias("kept")).select("kept.*"))
-    return alone.unionByName(one)
+    chosen = stage(reps.join(best, "root").select("digest", "copies", (F.col("rep") == F.col("best.rep")).alias("stays")),
+                   "chosen")
+    verdicts = stage(signed.select("text_key", "digest").distinct().join(chosen, "digest").select(
+        F.col("text_key").alias("__key"), F.col("digest").alias("__digest"), F.col("copies").alias("__copies"),
+        F.col("stays").alias("__stays")), "verdicts")
+    # Rows without a verdict pass straight through; the others, and some that the filter takes in, are shuffled once,
+    # at every size in the same way.
+    maybe = exact_dedup.member_filter(verdicts.select("__key"))
+    keyed = docs.withColumn("__key", text_key()).withColumn("__maybe", maybe(F.col("__key")))
+    judged = stage(keyed.filter("__maybe").join(verdicts.hint("merge"), "__key", "left").filter(
+        "__stays is null or __stays").drop("__maybe", "__stays", "__key"), "judged")
+    copies = (judged.filter("__copies > 1").groupBy("__digest")
+              .agg(F.min_by(F.struct(*columns), F.struct(F.col("doc_id"), F.col("text"))).alias("kept")).select("kept.*"))
+    return (keyed.filter(~F.col("__maybe")).select(*columns)
+            .unionByName(judged.filter("__copies is null or __copies = 1").select(*columns)).unionByName(copies))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return keep_one(docs)
+
+
+OP10_SQL = r"""
+with recursive w as (
+  select doc_id, list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g'), ' '),
+                             lambda x: x <> '') as words from documents),
+s as (
+  select distinct doc_id, unnest(case when len(words) = 0 then [] when len(words) < 5 then [array_to_string(words, ' ')]
+    else list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) end) as shingle from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+c as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id
+      group by all),
+l as (
+  select x, y from c join n a on a.doc_id = x join n b on b.doc_id = y where c >= 0.8 * (a.n + b.n - c) - 1e-9
+  union all
+  select a.doc_id, b.doc_id from w a join w b on a.doc_id < b.doc_id and len(a.words) = 0 and len(b.words) = 0),
+e as (select x, y from l union all select y, x from l),
+r as (select doc_id, doc_id as other from w union select r.doc_id, e.y from r join e on r.other = e.x)
+select w.doc_id, (select min(other) from r where r.doc_id = w.doc_id) as class_id,
+       (select count(*) from e where e.x = w.doc_id) as n_links
+from w
+"""
