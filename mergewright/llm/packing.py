@@ -25,8 +25,10 @@ WINDOW = 2048
 #: Tokens and pieces of a block, the memory bound of a task (4 bytes a token).
 BLOCK_TOKENS = 8 << 20
 BLOCK_PIECES = 1 << 17
-#: Distinct parts that a worker's encoder keeps here; a task also holds a block.
-KEEP, SLICE_BYTES = 200_000, 2 << 20
+#: Distinct parts that a worker's encoder keeps and bytes it encodes at a time: speed for memory. A stage of a
+#: longer run, whose executors hold more, takes the smaller ones.
+KEEP, SLICE_BYTES = tokens.KEEP, 4 << 20
+STAGE_KEEP, STAGE_SLICE_BYTES = 200_000, 2 << 20
 SEQUENCES = ("sequence_id long, filled long, padded long, ids binary, "
              "pieces array<struct<doc_id:long,start:long,length:long,doc_tokens:long,offset:long>>")
 
@@ -89,7 +91,8 @@ def padded_size(filled: int, window: int) -> int:
 
 
 def pack(docs: DataFrame, window: int = WINDOW, end_id: int = 1, path: str | None = None,
-         block_tokens: int = BLOCK_TOKENS, block_pieces: int = BLOCK_PIECES) -> DataFrame:
+         block_tokens: int = BLOCK_TOKENS, block_pieces: int = BLOCK_PIECES, keep: int = KEEP,
+         slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """One row per sequence: its ids (uint32, little-endian, without padding) and the pieces in it."""
     text = docs.sparkSession.sparkContext.broadcast(tokens.definition(path))
     piece_type = pa.struct([(n, pa.int64()) for n in ("doc_id", "start", "length", "doc_tokens", "offset")])
@@ -115,7 +118,7 @@ def pack(docs: DataFrame, window: int = WINDOW, end_id: int = 1, path: str | Non
     def run(batches):
         from pyspark import TaskContext
 
-        encoder = tokens.worker_encoder(text.value, KEEP)
+        encoder = tokens.worker_encoder(text.value, keep)
         number = TaskContext.get().partitionId() << 33
         end = np.array([end_id], np.uint32)
         rests, held = [], 0
@@ -133,7 +136,7 @@ def pack(docs: DataFrame, window: int = WINDOW, end_id: int = 1, path: str | Non
             yield from emit(done)
 
         for batch in batches:
-            for part in common.slices(batch, "text", SLICE_BYTES):
+            for part in common.slices(batch, "text", slice_bytes):
                 full = []
                 doc_ids = part.column("doc_id").to_pylist()
                 for doc_id, ids in zip(doc_ids, encoder.encode(part.column("text")), strict=True):
@@ -171,4 +174,4 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def pack_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Last stage of the pipeline: the pieces of all documents that were kept."""
-    return pieces(pack(docs))
+    return pieces(pack(docs, keep=STAGE_KEEP, slice_bytes=STAGE_SLICE_BYTES))
