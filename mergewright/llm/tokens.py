@@ -5,7 +5,8 @@ that stands alone between other characters, so a text may be cut there and its
 parts encoded apart. The parts of an Arrow batch are reduced to distinct ones
 by Arrow; a distinct part is encoded once per Python worker and its ids are
 gathered by numpy. Texts with runs of three blanks, or of two at their end, are
-encoded whole, since such runs do not fall apart at each blank.
+encoded whole, since such runs do not fall apart at each blank; so are texts that hold an added token
+of the definition, which the library takes out before anything is cut.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # One vocabulary in memory: the pre-tokeniser is exchanged for parts that are cut already.
         self.byte_level, self.lines = self.tokenizer.pre_tokenizer, pre_tokenizers.Split("\n", "removed")
         self.mark = self.tokenizer.token_to_id("Ċ")
@@ -128,7 +129,10 @@ class Encoder:
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text; a null text has none."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        whole = pc.match_substring_regex(texts, WHOLE).to_numpy(zero_copy_only=False)
+        whole = pc.match_substring_regex(texts, WHOLE)
+        for content in self.added:
+            whole = pc.or_(whole, pc.match_substring(texts, content))
+        whole = whole.to_numpy(zero_copy_only=False)
         out: list[np.ndarray | None] = [None] * len(texts)
         for i in np.flatnonzero(whole).tolist():
             out[i] = self._encode_whole([texts[i].as_py()])[0]

@@ -34,6 +34,23 @@ def test_encoder_equals_whole_texts(plain):
     assert len(encoder.index) < 200
 
 
+def test_ids_are_those_of_a_fresh_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(tokens.default_path())
+    added = [f"{a}<|endoftext|>{b}" for a in ("", "hello ", "word", "a\n") for b in ("", " world", "word", "\nb", "<|endoftext|>")]
+    texts = [t or "" for t in [*ODD, *added, "<|endoftext |>", "endoftext"]]
+    expected = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert expected[texts.index("hello <|endoftext|> world")] == [31373, 220, 50256, 995]
+    assert [e.tolist() for e in tokens.Encoder(tokens.definition()).encode(pa.array(texts))] == expected
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    written = records.write_records(docs, end_id=0)
+    start = 0
+    for row in sorted(records.read_records(spark, written).collect(), key=lambda r: r.doc_id):
+        assert (row.start, np.frombuffer(row.ids, "<u4").tolist()) == (start, [*expected[row.doc_id], 0])
+        start += row.n_tokens
+
+
 def test_frames_round_trip_and_break():
     payloads = [records.serialise(None, np.array([], np.uint32)), records.serialise(7, np.array([1, 70000], np.uint32))]
     data = b"".join(map(records.frame, payloads))
