@@ -405,6 +405,26 @@ def test_learned_rules_cover_the_matches(spark):
     assert candidates.learn_blocking(tenfold, links).rules == learned.rules
 
 
+def test_rules_are_ordered_by_a_count_of_all_records(spark):
+    # One profile with many copies on both sides, whose digest is the last of 200: a share by digest goes without it.
+    row = [F.lit(None).cast(t).alias(c) for c, t in (
+        ("make", "string"), ("year", "string"), ("price", "double"), ("mileage", "double"))]
+    names = spark.range(200).select(F.format_string("copied%d", "id").alias("model"), *row, F.lit(None).cast("string").alias("state"))
+    heavy = names.orderBy(ranking.digest(*candidates.COMPARED).desc()).first()["model"]
+    n = F.col("id")
+    state = F.when(n < 10, F.format_string("s%d", n)).when(n < 50, "many")
+    model = F.when(n < 20_000, F.format_string("m%d", n)).otherwise(heavy)
+    records = spark.range(22_000).select(
+        F.explode(F.array(F.lit("A"), F.lit("B"))).alias("source"), "id", model.alias("model"), *row, state.alias("state"))
+    records = records.withColumn("id", F.concat_ws("-", "source", "id")).filter(
+        "source = 'A' or model not like 'm%' or state is not null").cache()
+    links = spark.createDataFrame([(f"A-{i}", f"B-{i}") for i in range(10)], "id_A string, id_B string")
+    learned = candidates.learn_blocking(records, links, terms=1)
+    assert records.count() > 20_000
+    # By state 10 + 40 * 40 pairs meet, by model 50 + 2,000 * 2,000: the copies decide.
+    assert [r.name for r in learned.rules] == ["state_whole"] and learned.pairs == (1610.0,)
+
+
 def test_saved_rules_are_read_again(spark):
     from mergewright.sources.staging import new_path
     learned = candidates.Learned((candidates.Rule(("a", "b")), candidates.Rule(("c",))), (3, 2), (9.0, 4.0), 6, 1)
