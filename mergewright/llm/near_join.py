@@ -2,11 +2,9 @@
 
 1. Each text becomes a set of word shingles (see ``shingles``), a digest of the set and a
    signature. Texts with the same set are copies: one class, one row from here on.
-2. A forest has ``TREES`` prefix tries; in each, a class is filed under ``DEPTH`` hash values. Classes that
-   share a prefix meet in a bucket. Prefixes start as long as a pair at the threshold
-   still meets almost surely (``SURE``), and are shortened until
-   the estimated share of found pairs reaches the target: each pair found at
-   estimated similarity s stands for 1/p pairs, p being its chance to meet at that depth.
+2. A forest has prefix tries; in each, a class is filed under ``depth`` of its ``HASHES`` hash values. Classes that
+   share a prefix meet in a bucket. Prefixes are the longest under which a pair at the threshold itself
+   is missed with a chance of ``MISSED`` at most, whatever else the corpus holds: at 0.8, 32 tries of 4 values.
    In a bucket, signatures drop chance meetings, and what is left is told as a
    forest of links, one row a class, never as pairs.
 3. Linked classes form candidate groups (connected components). The shingle sets
@@ -32,9 +30,10 @@ from pyspark.sql import functions as F
 from mergewright.llm import common, exact_dedup, shingles
 from mergewright.sources.staging import stage
 
-TREES, DEPTH, SHORTEST = 16, 8, 4
+HASHES = 128
 THRESHOLD = 0.8
-TARGET_RECALL, SURE = 0.995, 0.99
+#: Chance to miss a pair at the threshold, of the order of what ``CHANCE`` drops.
+MISSED = 1e-6
 #: Estimated similarity below which a meeting is taken for chance: over 4 deviations below the threshold.
 CHANCE = 0.62
 #: Rows of a block; a block of a group also has so many shingles a row at most, on average.
@@ -53,7 +52,7 @@ def sign(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         common.forget_worker_cache()
-        a, b = shingles.permutations(TREES * DEPTH)
+        a, b = shingles.permutations(HASHES)
         for batch in batches:
             for part in common.slices(batch, "text"):
                 sets = shingles.shingle_sets(part.column("text"))
@@ -130,13 +129,18 @@ class Forest:
                 self.parent[max(a, b)] = min(a, b)
 
 
-def meets(s: np.ndarray, depth: int) -> np.ndarray:
-    """Chance of a pair of similarity s to share a prefix of ``depth`` in some tree."""
-    return 1 - (1 - s ** depth) ** TREES
+def missed(s: float, depth: int) -> float:
+    """Chance of a pair of similarity s to share no prefix of ``depth`` in any trie."""
+    return (1 - s ** depth) ** (HASHES // depth)
 
 
-def meet(members: DataFrame, sizes: DataFrame, depth: int) -> DataFrame:
-    """Links of classes that meet in a bucket: rep, root, and how many pairs were found and stood for."""
+def prefix_depth(threshold: float, most: float = MISSED) -> int:
+    """The longest prefix that misses a pair at the threshold with a chance of ``most`` at most, 1 if none does."""
+    return next((d for d in range(HASHES, 1, -1) if missed(threshold, d) <= most), 1)
+
+
+def meet(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Links of classes that meet in a bucket: rep, root."""
     dealt = blocks(members, sizes, ["bucket"], BUCKET_BLOCK).repartition("bucket", "left", "right").sortWithinPartitions(
         "bucket", "left", "right", "rep")
 
@@ -147,57 +151,35 @@ def meet(members: DataFrame, sizes: DataFrame, depth: int) -> DataFrame:
             n = len(rep)
             if n < 2:
                 continue
-            tree = int(table["tree"][0].as_py())
             same_block = table["left"][0].as_py() == table["right"][0].as_py()
-            sig = np.frombuffer(b"".join(table["signature"].to_pylist()), "<u2").reshape(n, TREES * DEPTH)
-            prefix = np.ascontiguousarray(sig.reshape(n, TREES, DEPTH)[:, :tree, :depth])
-            forest, found, stood = Forest(n), 0, 0.0
+            sig = np.frombuffer(b"".join(table["signature"].to_pylist()), "<u2").reshape(n, HASHES)
+            forest = Forest(n)
             for i in range(n - 1):
                 rest = np.arange(i + 1, n)
                 if not same_block:
                     rest = rest[own[i + 1:] != own[i]]
-                s = (sig[rest] == sig[i]).mean(axis=1)
-                near = s >= CHANCE
-                rest, s = rest[near], s[near]
-                forest.link_rows(i, rest)
-                close = s >= THRESHOLD
-                if close.any():
-                    # A pair is counted in the first tree where it meets.
-                    earlier = (prefix[rest[close]] == prefix[i]).all(axis=2).any(axis=1) if tree else np.zeros(
-                        int(close.sum()), bool)
-                    first = s[close][~earlier]
-                    found += len(first)
-                    stood += float((1 / meets(first, depth)).sum())
+                forest.link_rows(i, rest[(sig[rest] == sig[i]).mean(axis=1) >= CHANCE])
             root = np.array([forest.root(i) for i in range(n)])
             moved = np.flatnonzero(root != np.arange(n))
             if len(moved):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rep[moved], pa.int64()), pa.array(rep[root[moved]], pa.int64()),
-                     pa.array([found] + [0] * (len(moved) - 1), pa.int64()),
-                     pa.array([stood] + [0.0] * (len(moved) - 1), pa.float64())], names=["a", "b", "found", "stood"])
+                    [pa.array(rep[moved], pa.int64()), pa.array(rep[root[moved]], pa.int64())], names=["a", "b"])
 
-    return (dealt.select("bucket", "left", "right", "own", "rep", "tree", "signature")
-            .mapInArrow(run, "a long, b long, found long, stood double"))
+    return (dealt.select("bucket", "left", "right", "own", "rep", "signature")
+            .mapInArrow(run, "a long, b long"))
 
 
-def candidate_links(reps: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_RECALL,
-                    sure: float = SURE) -> DataFrame:
-    """Links between classes that met, under the longest prefix that reaches the target recall."""
+def candidate_links(reps: DataFrame, threshold: float = THRESHOLD, most: float = MISSED) -> DataFrame:
+    """Links between classes that met; a pair at the threshold is missed with a chance of ``most`` at most."""
     signed = reps.filter("n_shingles > 0").select("rep", "signature")
-    for depth in range(DEPTH, SHORTEST - 1, -1):
-        if depth > SHORTEST and meets(np.float64(threshold), depth) < sure:
-            continue
-        filed = signed.select("rep", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "signature").select(
-            "rep", "tree", F.xxhash64("tree", F.substring(
-                "signature", F.col("tree") * 2 * DEPTH + 1, F.lit(2 * depth))).alias("bucket"))
-        filed = stage(filed, "filed")
-        sizes = stage(filed.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "buckets")
-        shared = filed.join(sizes.select("bucket"), "bucket")
-        links = stage(meet(shared.join(signed, "rep"), sizes, depth), "links")
-        done = links.agg(F.sum("found").alias("found"), F.sum("stood").alias("stood")).first()
-        if not done.stood or done.found / done.stood >= target:
-            break
-    return links.select("a", "b").distinct()
+    depth = prefix_depth(threshold, most)
+    filed = signed.select("rep", F.explode(F.sequence(F.lit(0), F.lit(HASHES // depth - 1))).alias("trie"), "signature").select(
+        "rep", F.xxhash64("trie", F.substring(
+            "signature", F.col("trie") * 2 * depth + 1, F.lit(2 * depth))).alias("bucket"))
+    filed = stage(filed, "filed")
+    sizes = stage(filed.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "buckets")
+    shared = filed.join(sizes.select("bucket"), "bucket")
+    return stage(meet(shared.join(signed, "rep"), sizes), "links").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -314,11 +296,11 @@ def similar_pairs(sets: list[np.ndarray], threshold: float, columns: int = 4096)
             yield i, hit + i + 1
 
 
-def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_RECALL) -> tuple[DataFrame, DataFrame]:
+def join(docs: DataFrame, threshold: float = THRESHOLD, most: float = MISSED) -> tuple[DataFrame, DataFrame]:
     """(signed rows, classes): a class row per shingle set that is linked to another: digest, root, links."""
     signed = stage(sign(docs), "signed")
     reps = stage(representatives(signed), "representatives")
-    groups = stage(components(candidate_links(reps, threshold, target)), "groups")
+    groups = stage(components(candidate_links(reps, threshold, most)), "groups")
     verified = stage(verify(docs, reps, groups, threshold), "verified")
     classes = components(verified.select("a", "b"))
     links = verified.groupBy("a").agg(F.sum("links").alias("links"))
@@ -329,13 +311,13 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_R
         F.coalesce("component", "rep").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_RECALL) -> DataFrame:
+def classes(docs: DataFrame, threshold: float = THRESHOLD, most: float = MISSED) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, n_links.
 
     ``class_id`` is the smallest doc_id of the component, ``n_links`` the number of other rows at the threshold or above,
     exact copies included.
     """
-    signed, reps = join(docs, threshold, target)
+    signed, reps = join(docs, threshold, most)
     reps = stage(reps, "classes")
     smallest = stage(reps.groupBy("root").agg(F.min("min_doc").alias("class_id")), "smallest")
     by_digest = stage(reps.join(smallest, "root").select("digest", "class_id", (
@@ -348,13 +330,13 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return classes(common.table(spark, folder, "documents"))
 
 
-def keep_one(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_RECALL) -> DataFrame:
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, most: float = MISSED) -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: of each class, the row with most shingles, then smallest doc_id.
 
     Rows in no class with another are passed on unchanged.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    signed, reps = join(docs, threshold, target)
+    signed, reps = join(docs, threshold, most)
     reps = stage(reps, "classes")
     best = stage(reps.groupBy("root").agg(
         F.min(F.struct((-F.col("n_shingles")).alias("less"), "min_doc", "rep")).alias("best"),

@@ -102,6 +102,25 @@ def test_near_classes_equal_brute_force(spark, edge, none, monkeypatch):
     assert near_join.classes(none).count() == 0
 
 
+def test_lone_pairs_at_the_threshold_are_found_beside_close_copies(spark):
+    # 2,000 pairs of similarity 40 / 50, and one big group of close copies that once made up for those not found.
+    rng = np.random.default_rng(5)
+    a, b = shingles.permutations(128)
+
+    def signed(rep, sets):
+        return [(rep + i, 1, shingles.minhash(x, a, b).tobytes()) for i, x in enumerate(sets)]
+
+    rows = []
+    for g in range(2000):
+        x = rng.integers(0, 1 << 63, 50, np.uint64)
+        rows += signed(2 * g, [x[:45], np.concatenate([x[:40], x[45:]])])
+    base = rng.integers(0, 1 << 63, 400, np.uint64)
+    rows += signed(10_000, [np.delete(base, i) for i in range(300)])
+    reps = spark.createDataFrame(rows, "rep long, n_shingles int, signature binary")
+    found = near_join.candidate_links(reps).filter("greatest(a, b) < 4000")
+    assert found.count() == 2000
+
+
 def test_blocks_of_a_few_rows_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(near_join, "BUCKET_BLOCK", 3)
     monkeypatch.setattr(near_join, "GROUP_BLOCK", 2)
