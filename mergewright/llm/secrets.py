@@ -1,8 +1,9 @@
 """Secret scan: candidates by pattern, a random forest to drop false positives.
 
-A candidate is a run of 12 or more key characters with a digit. Its features are
-length, changes between character classes, shares of digits, capitals and distinct
-characters, coverage by dictionary words, whether it stands in a path or address, and
+A candidate is a run of 12 or more key characters with a digit, or any run of 6 or more characters
+without blanks that follows a secret word and an assignment, up to the closing quote if it is quoted. Its features are
+length, changes between character classes, shares of digits, capitals, signs and distinct
+characters, coverage by dictionary words, whether it is a stand-in for a value, whether it stands in a path or address, and
 the words beside it. The forest is trained from labelled findings; the default ones
 are built by rule from kinds of keys and of look-alikes (``labelled_findings``), and any table of the same
 columns may take their place.
@@ -24,11 +25,13 @@ from mergewright.llm import common
 from mergewright.sources.staging import stage
 
 KEY = "A-Za-z0-9+/_-"
-CANDIDATE = rf"(?<![{KEY}])(?=[A-Za-z+/_-]*+[0-9])[{KEY}]{{12,}}+={{0,2}}"
 CONTEXT = 48
 MASK = "<SECRET>"
 #: Words beside secrets, words beside look-alikes, dictionary words inside names.
 SECRET_WORDS = "token|secret|password|passwd|pwd|api_?-?key|access_?-?key|private_?-?key|credential|auth|bearer|signing"
+#: What stands where a value would: nothing is told by it.
+PLAIN_VALUES = (r"required|optional|string|undefined|default|missing|invalid|expired|enabled|disabled|hidden|redacted|changeme|"
+                r"boolean|integer|unknown|secret|password|<.*>?|\$?\{+.*\}*|%.*%|[*.x_-]+|[\w.]+[(\[].*")
 PLAIN_WORDS = ("commit|revision|checksum|digest|md5|sha1|sha256|etag|uuid|guid|isbn|issn|doi|version|build|order|invoice|"
                "card|phone|tel|fax|serial|part|page|id|ref|index|hash|at|on|to|of|and|the")
 DICTIONARY = ("about|account|action|after|article|blog|build|button|category|class|client|config|content|data|default|"
@@ -37,8 +40,15 @@ DICTIONARY = ("about|account|action|after|article|blog|build|button|category|cla
               "post|product|project|public|query|record|release|report|request|response|result|section|server|service|"
               "source|start|static|status|string|system|table|test|text|time|title|type|update|user|value|version|view|web|"
               "week|world|year")
+#: A run of key characters with a digit; and what is assigned to a secret word, to the closing quote or, without quotes, to a
+#: blank, less punctuation at its end. Looks behind begin with the sign of assignment, which prose seldom has.
+RUN = rf"(?<![{KEY}])(?=[A-Za-z+/_-]*+[0-9])[{KEY}]{{12,}}+={{0,2}}"
+NAMED = (rf"""(?<=[:=>]\s{{0,2}}["'`]?)(?<=(?i:{SECRET_WORDS})[\w-]{{0,8}}["']?\s{{0,2}}(?:=>|:=|==?|:)\s{{0,2}}["'`]?)"""
+         r"""(?!(?i:bearer|basic)\b)(?:(?<=")[^\s"]{6,}+|(?<=')[^\s']{6,}+|(?<=`)[^\s`]{6,}+|(?<!["'`])"""
+         r"""(?=[^\s"'`=:>])[^\s"'`]{5,}[^\s"'`.,;:)\]}])""")
+CANDIDATE = f"{NAMED}|{RUN}"
 FEATURES = ("f_length", "f_changes", "f_digits", "f_capitals", "f_distinct", "f_hex", "f_only_digits", "f_covered",
-            "f_path", "f_secret_word", "f_plain_word", "f_assigned", "f_quoted", "f_dashes")
+            "f_path", "f_secret_word", "f_plain_word", "f_assigned", "f_quoted", "f_dashes", "f_signs", "f_plain_value", "f_equals")
 TREES, TREE_DEPTH = 30, 6
 THRESHOLD = 0.5
 PER_KIND = 60
@@ -65,6 +75,9 @@ def with_features(found: DataFrame) -> DataFrame:
         "f_assigned": before.rlike(r"""[:=]\s?["']?$"""),
         "f_quoted": before.rlike("""["']$""") & after.rlike("""^["']"""),
         "f_dashes": F.regexp_count(c, F.lit("[-_]")) / n,
+        "f_signs": F.regexp_count(c, F.lit(rf"[^={KEY}]")) / n,
+        "f_plain_value": F.lower(c).rlike(f"^({PLAIN_VALUES})$"),
+        "f_equals": before.rlike(r"""=>?\s{0,2}["'`]?$"""),
     }
     return found.withColumns({k: v.cast("double") for k, v in columns.items()})
 
@@ -77,6 +90,16 @@ KINDS = (
     (1, "", "ghp_", "mixed", 1, 36, "", " "), (1, "secret: ", "", "hex", 1, 32, "", " "),
     (1, "api_key='", "", "mixed", 1, 32, "", "'"), (1, "Authorization: Bearer ", "", "mixed", 1, 60, "", " "),
     (1, "", "sk_live_", "mixed", 1, 24, "", " "), (1, 'secret_key = "', "", "hex", 1, 64, "", '"'),
+    (1, 'password = "', "", "signs", 1, 10, "", '"'), (1, "password: ", "", "signs", 5, 12, "", " "),
+    (1, "passwd=", "", "hex", 1, 8, "", " "), (1, "pwd: '", "", "mixed", 1, 8, "", "'"), (1, "password: ", "", "mixed", 3, 10, "", " "),
+    (1, "secret: ", "", "letters", 1, 20, "", " "), (1, 'secret = "', "", "letters", 1, 14, "", '"'),
+    (1, "passwd=", "", "letters", 1, 6, "", " "), (1, "passwd=", "", "letters", 3, 7, "42", " "), (1, "pwd=", "", "digits", 1, 8, "", " "),
+    (0, "password: ", "required", "letters", 1, 0, "", " "), (0, 'secret: "', "undefined", "letters", 1, 0, "", '"'),
+    (0, "token: ", "string", "letters", 1, 0, "", " "), (0, "password = ", "<your-", "letters", 1, 8, ">", " "),
+    (0, "password=", "${DB_", "letters", 1, 8, "}", " "), (0, "token = ", "get_", "letters", 1, 6, "()", " "),
+    (0, 'password: "', "********", "letters", 1, 0, "", '"'), (0, "password = ", "os.environ['", "letters", 1, 0, "", "'"),
+    (0, "password: ", "", "letters", 1, 6, "", " "), (0, "secret: ", "", "letters", 3, 9, "", " "),
+    (0, "tokens: ", "", "digits", 1, 8, "", " "),
     (0, "", "", "digits", 1, 16, "", " "), (0, "call ", "555-", "digits", 1, 10, "", " "),
     (0, "id ", "", "uuid", 1, 36, "", " "), (0, "commit ", "", "hex", 1, 40, "", " "),
     (0, "sha256 ", "", "hex", 1, 64, "", " "), (0, "checksum: ", "", "hex", 1, 32, "", " "),
@@ -99,10 +122,12 @@ def labelled_findings(spark: SparkSession, per_kind: int = PER_KIND) -> DataFram
             .withColumn("hex", digest("a")).withColumn("other", digest("b"))
             .withColumn("mixed", F.translate(F.base64(F.unhex(F.concat("hex", "other"))), "+/=\r\n", "xY"))
             .withColumn("digits", F.translate("other", "abcdef", "123456"))
+            .withColumn("letters", F.translate("hex", "0123456789", "ghijklmnop"))
+            .withColumn("signs", F.translate("mixed", "aeiouAEIOU", "!@#$%&*.?^"))
             .withColumn("uuid", F.regexp_replace(F.left("hex", F.lit(32)), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"))
             .withColumn("capitals", F.translate(F.upper("mixed"), "+/01", "QZ23"))
             .withColumn("words", F.translate(F.left("other", F.lit(24)), "0123456789", "  aeiou en")))
-    value = F.coalesce(*[F.when(F.col("form") == f, F.col(f)) for f in ("hex", "mixed", "capitals", "digits", "uuid")])
+    value = F.coalesce(*[F.when(F.col("form") == f, F.col(f)) for f in ("hex", "mixed", "capitals", "digits", "uuid", "letters", "signs")])
     return rows.select(F.concat("words", F.lit(" "), "before").alias("before"),
                        F.concat("head", F.substring(value, F.col("begin"), F.col("size")), "tail").alias("candidate"),
                        F.concat("after", "words").alias("after"), "label")

@@ -118,6 +118,18 @@ def test_secrets_are_told_from_look_alikes(spark, forest, edge, none):
         1: True, 2: True, 3: False, 4: False, 5: False}
 
 
+def test_short_and_broken_values_of_secret_words_are_masked(spark, forest):
+    texts = {1: ('set password = "Xk7#pQ2!vR" here', 'set password = "<SECRET>" here'), 2: ("use passwd=hunter42, then", "use passwd=<SECRET>, then"),
+             3: ("the secret: correcthorsebattery.", "the secret: <SECRET>."), 4: ("db_password: 'it5#me\"Q' end", "db_password: '<SECRET>' end"),
+             5: ('{"pwd": "aB3$xY9z", "n": 1}', '{"pwd": "<SECRET>", "n": 1}')}
+    plain = {6: "password: required by all", 7: "token = get_token() here", 8: "password = ${DB_PASSWORD} set", 9: "a secret word, a password of mine",
+             10: "password: short of breath", 11: "secret: abc", 12: "see https://example.org/a and b = hunter"}
+    docs = spark.createDataFrame([*((k, v[0]) for k, v in texts.items()), *plain.items()], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in secrets.redact(docs, forest).collect()} == {**{k: v[1] for k, v in texts.items()}, **plain}
+    found = {r.doc_id: r.candidate for r in secrets.scan(docs, forest, "doc_id").collect()}
+    assert found[6] == "required" and not {9, 11, 12} & set(found)
+
+
 def test_redaction_masks_secrets_only(spark, forest, edge, none):
     done = secrets.redact(edge, forest)
     assert done.columns == edge.columns and done.count() == edge.count()
