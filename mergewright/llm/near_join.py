@@ -15,7 +15,7 @@
 Groups and buckets larger than a block are cut into blocks, and each pair of blocks
 is a task's work of its own, so no task holds a group; nothing is capped or sampled. Every iteration
 ends in a written table. Empty texts (no words) are copies of each other
-and linked to nothing else. Null ids and repeated rows are rows like any other.
+and linked to nothing else; where one row of a class is kept, only those equal but for white space are. Null ids and repeated rows are rows like any other.
 """
 
 from __future__ import annotations
@@ -45,8 +45,16 @@ def text_key() -> F.Column:
     return F.unhex(F.md5(common.text_or_empty("text").cast("binary")))
 
 
-def sign(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: digest of its shingle set and its signature."""
+def wordless_digest(text: str) -> bytes:
+    """The digest of a text without words, for itself: equal but for white space, as in exact dedup."""
+    return hashlib.blake2b(text.translate(dict.fromkeys(map(ord, common.WHITE))).encode(), digest_size=16, person=b"wordless").digest()
+
+
+def sign(docs: DataFrame, apart: bool = False) -> DataFrame:
+    """One row per row of ``docs``: digest of its shingle set and its signature.
+
+    Texts without words have one digest, or with ``apart`` that of their own text.
+    """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        text_key().alias("text_key"), common.text_or_empty("text").alias("text"))
 
@@ -56,10 +64,12 @@ def sign(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in common.slices(batch, "text"):
                 sets = shingles.shingle_sets(part.column("text"))
+                digests = [wordless_digest(part.column("text")[i].as_py()) if apart and not len(s)
+                           else hashlib.blake2b(s.tobytes(), digest_size=16).digest() for i, s in enumerate(sets)]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in ("row", "doc_id", "text_key")),
                      pa.array([len(s) for s in sets], pa.int32()),
-                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
+                     pa.array(digests, pa.binary()),
                      pa.array([shingles.minhash(s, a, b).tobytes() for s in sets], pa.binary())],
                     names=["row", "doc_id", "text_key", "n_shingles", "digest", "signature"])
 
@@ -296,9 +306,9 @@ def similar_pairs(sets: list[np.ndarray], threshold: float, columns: int = 4096)
             yield i, hit + i + 1
 
 
-def join(docs: DataFrame, threshold: float = THRESHOLD, most: float = MISSED) -> tuple[DataFrame, DataFrame]:
+def join(docs: DataFrame, threshold: float = THRESHOLD, most: float = MISSED, apart: bool = False) -> tuple[DataFrame, DataFrame]:
     """(signed rows, classes): a class row per shingle set that is linked to another: digest, root, links."""
-    signed = stage(sign(docs), "signed")
+    signed = stage(sign(docs, apart), "signed")
     reps = stage(representatives(signed), "representatives")
     groups = stage(components(candidate_links(reps, threshold, most)), "groups")
     verified = stage(verify(docs, reps, groups, threshold), "verified")
@@ -333,10 +343,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, most: float = MISSED) -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: of each class, the row with most shingles, then smallest doc_id.
 
-    Rows in no class with another are passed on unchanged.
+    Rows in no class with another are passed on unchanged; so are texts without words, but for repeats of the same text.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    signed, reps = join(docs, threshold, most)
+    signed, reps = join(docs, threshold, most, apart=True)
     reps = stage(reps, "classes")
     best = stage(reps.groupBy("root").agg(
         F.min(F.struct((-F.col("n_shingles")).alias("less"), "min_doc", "rep")).alias("best"),

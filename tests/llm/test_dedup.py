@@ -139,6 +139,12 @@ def test_one_of_each_class_stays(spark, edge, none):
     assert near_join.keep_one(none).count() == 0
 
 
+def test_different_texts_without_words_stay(spark):
+    docs = spark.createDataFrame([(1, "-----"), (2, "!!! ???"), (3, "!!!\n???"), (4, "\U0001f600"), (5, None), (6, "-----"), (7, " "),
+                                  (8, "some words")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_join.keep_one(docs).collect()) == [1, 2, 4, 5, 8]
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.range(1, 60).select(F.col("id").alias("a"), (F.col("id") - 1).alias("b"))
     other = spark.createDataFrame([(101, 100), (102, 100)], "a long, b long")
