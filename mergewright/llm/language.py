@@ -6,7 +6,7 @@ the language of the centroid with the highest cosine. A text further from its
 language's centroids than nearly all of that language's learning texts is marked ``rejected``.
 
 The model is fitted on a bounded sample of the learning rows (``PER_LANGUAGE`` rows of each language, chosen by a
-hash of the id); a language is learned whatever its share. Predictions read whole
+hash of the id); a language is learned whatever its share. Document frequencies are counted over all learning rows. Predictions read whole
 texts. Without learning rows every text is ``und``; so is a null text and one
 without a letter (score 0).
 """
@@ -66,13 +66,37 @@ def count_vectors(docs: DataFrame, *keep: str) -> DataFrame:
     return kept.mapInArrow(run, ", ".join([*fields, "counts binary"]))
 
 
+def learning_rows(docs: DataFrame) -> DataFrame:
+    return docs.filter("lang is not null and text is not null").filter(~common.in_test_fold("doc_id"))
+
+
 def learning_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """At most ``per_language`` learning rows of each language, the first by a hash of the id."""
-    learn = docs.filter("lang is not null and text is not null").filter(~common.in_test_fold("doc_id"))
+    learn = learning_rows(docs)
     return common.bounded_sample(learn.select("doc_id", "text"), learn.select(F.col("lang").alias("label"), "doc_id"),
                                  "label", per_language)
 
 
+def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
+    """Learning rows, and in how many of them each bucket occurs: added up in tasks, one row a bucket of each is shuffled."""
+    def run(batches):
+        table = common.worker_cache("letters", ngrams.letter_table)
+        n, seen = 0, np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                seen += ngrams.bucket_counts(ngrams.letters_only(text, table), SIZES, BUCKETS) > 0
+                n += 1
+        # The last bucket counts rows.
+        yield pa.RecordBatch.from_arrays([pa.array(range(BUCKETS + 1), pa.int32()), pa.array([*seen.tolist(), n], pa.int64())],
+                                         names=["bucket", "n"])
+
+    rows = learning_rows(docs).select(common.text_or_empty("text").alias("text")).mapInArrow(run, "bucket int, n long")
+    out = np.zeros(BUCKETS + 1, np.int64)
+    for r in rows.groupBy("bucket").agg(F.sum("n").alias("n")).toLocalIterator():
+        out[r.bucket] = r.n
+    return int(out[-1]), out[:-1]
+
+
 def spherical_means(vectors: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     """Centroids of length 1; the start is spread out by farthest-first choice, so results repeat."""
     chosen = [int(np.argmax(vectors @ vectors.mean(axis=0)))]
@@ -91,13 +115,14 @@ def spherical_means(vectors: np.ndarray, k: int, rounds: int = ROUNDS) -> np.nda
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Fit on the bounded sample; only n-gram counts of it reach the driver."""
+    """Fit on the bounded sample; its n-gram counts and the document frequencies of all learning rows reach the driver."""
     rows = count_vectors(learning_sample(docs, per_language), "label").collect()
     rows.sort(key=lambda r: (r.label, bytes(r.counts)))
     languages = sorted({r.label for r in rows})
     counts = np.array([np.frombuffer(r.counts, "<i4") for r in rows]).reshape(-1, BUCKETS)
     label = np.array([languages.index(r.label) for r in rows], int)
-    idf = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
+    n, frequencies = document_frequencies(docs)
+    idf = (np.log((1 + n) / (1 + frequencies)) + 1).astype(np.float32)
     vectors = normalise(counts, idf)
     centroids, owner, floor = [], [], []
     for i in range(len(languages)):

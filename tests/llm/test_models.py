@@ -37,6 +37,16 @@ def test_language_on_held_out_rows(spark, tongues, edge, none):
     assert {r.lang_pred for r in language.predict(edge, language.fit(none)).collect()} == {"und"}
 
 
+def test_weights_count_all_learning_rows(tongues):
+    from mergewright.llm import ngrams
+
+    table = ngrams.letter_table()
+    learn = [r.text for r in tongues.collect() if zlib.crc32(str(r.doc_id).encode()) % 5]
+    seen = sum((ngrams.bucket_counts(ngrams.letters_only(t, table), language.SIZES, language.BUCKETS) > 0).astype(int) for t in learn)
+    expected = np.log((1 + len(learn)) / (1 + seen)) + 1
+    assert len(learn) > 90 and np.allclose(language.fit(tongues, 30).idf, expected, atol=1e-5)
+
+
 def test_the_learning_sample_is_bounded_and_outside_the_test_fold(spark, tongues):
     many = tongues.unionByName(tongues.withColumn("doc_id", F.lit(2).cast("long")))
     sample = language.learning_sample(many, 7)
