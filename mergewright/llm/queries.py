@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from mergewright.llm import byte_bpe, exact_dedup, host_quality, language, near_join, packing, records, secrets, toxicity, url_filter
+from mergewright.llm import (
+    byte_bpe,
+    exact_dedup,
+    host_quality,
+    language,
+    near_dedup,
+    near_join,
+    packing,
+    records,
+    secrets,
+    toxicity,
+    url_filter,
+)
 
 QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
@@ -15,10 +27,12 @@ QUERIES = {
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_ngram_jaccard_join": near_join.op10_ngram_jaccard_join,
+    "op11_minhash_near_dedup": near_dedup.op11_minhash_near_dedup,
 }
 
 ORACLE = {
     "op10_ngram_jaccard_join": near_join.OP10_SQL,
+    "op11_minhash_near_dedup": near_dedup.OP11_SQL,
     "op1_url_filters": url_filter.OP1_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op7_host_quality": host_quality.OP7_SQL,

@@ -22,11 +22,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: pa.Array, size: int = SIZE) -> list[np.ndarray]:
     """The sorted distinct 64-bit shingle hashes of each text."""
-    import xxhash
-
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     words = pc.split_pattern(pc.utf8_trim(pc.replace_substring_regex(
         pc.utf8_lower(texts), r"[^\p{L}\p{N}]+", " "), " "), " ")
+    return window_sets(words, size)
+
+
+def window_sets(words: pa.ListArray, size: int) -> list[np.ndarray]:
+    """The sorted distinct 64-bit hashes of the windows of ``size`` words in each list of words.
+
+    A shorter list has one window, all its words; a list of one empty word has none.
+    """
+    import xxhash
+
     coded = words.flatten().dictionary_encode()
     parts = coded.dictionary.to_numpy(zero_copy_only=False)
     hashes = np.fromiter((xxhash.xxh64_intdigest(p) for p in parts), np.uint64, len(parts))
