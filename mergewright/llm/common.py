@@ -69,6 +69,20 @@ def slices(batch: pa.RecordBatch, column: str, budget: int = 4 << 20) -> Iterato
             pa.default_memory_pool().release_unused()
 
 
+def lower_ascii(texts: pa.Array) -> pa.Array:
+    """A-Z lower-cased in an array of texts (null: empty), on the bytes themselves."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    table = np.arange(256, dtype=np.uint8)
+    table[65:91] += 32
+    lowered = table[np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(np.ascontiguousarray(offsets - offsets[0])), pa.py_buffer(lowered))
+
+
 def bounded_sample(docs: DataFrame, keys: DataFrame, by: str, bound: int) -> DataFrame:
     """(``by``, doc_id, text) of at most ``bound`` rows for each value of ``by``: the first by a hash of the id.
 

@@ -50,8 +50,8 @@ LOOKUP = 1 << 21
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text: words between blanks, A-Z lower-cased."""
-    texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    trimmed = pc.ascii_trim(pc.replace_substring_regex(texts, r"[\x20\x09-\x0D]+", " "), " ")
+    words = pc.replace_substring_regex(common.lower_ascii(texts), r"[\x20\x09-\x0D]+", " ")
+    trimmed = pc.utf8_trim(words, " ")
     return shingles.window_sets(pc.split_pattern(trimmed, " "), WIDTH)
 
 
