@@ -69,6 +69,13 @@ def slices(batch: pa.RecordBatch, column: str, budget: int = 4 << 20) -> Iterato
             pa.default_memory_pool().release_unused()
 
 
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one by one, so that one large row at a time is held as Python objects."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def lower_ascii(texts: pa.Array) -> pa.Array:
     """A-Z lower-cased in an array of texts (null: empty), on the bytes themselves."""
     import numpy as np

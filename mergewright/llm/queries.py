@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from mergewright.llm import (
     byte_bpe,
+    collocations,
     exact_dedup,
     host_quality,
     language,
@@ -13,6 +14,7 @@ from mergewright.llm import (
     records,
     secrets,
     toxicity,
+    turn_trie,
     url_filter,
 )
 
@@ -28,11 +30,15 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_ngram_jaccard_join": near_join.op10_ngram_jaccard_join,
     "op11_minhash_near_dedup": near_dedup.op11_minhash_near_dedup,
+    "op12_conversation_trie": turn_trie.op12_conversation_trie,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLE = {
     "op10_ngram_jaccard_join": near_join.OP10_SQL,
     "op11_minhash_near_dedup": near_dedup.OP11_SQL,
+    "op12_conversation_trie": turn_trie.OP12_SQL,
+    "op13_collocations": collocations.OP13_SQL,
     "op1_url_filters": url_filter.OP1_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op7_host_quality": host_quality.OP7_SQL,

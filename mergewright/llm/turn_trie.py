@@ -276,10 +276,10 @@ class Matrix:
         first = np.flatnonzero(cut)
         stop = np.append(first[1:], self.n)
         sums = [np.add.reduceat(v, first) for v in (self.children[:, j], self.leaf, self.saved[:, j],
-                                                    (self.lengths == j) & ~self.more)]
+                                                    ((self.lengths == j) & ~self.more).astype(np.int64))]
         least = np.minimum.reduceat(self.convs, first)
         keep = self.valid[first, j]
-        return first[keep], stop[keep], least[keep], [s[keep].astype(np.int64) for s in sums]
+        return first[keep], stop[keep], least[keep], [s[keep] for s in sums]
 
     def beyond(self, first: np.ndarray, stop: np.ndarray, j: int) -> np.ndarray:
         """Which runs belong to nodes that go on outside the block."""
@@ -296,17 +296,16 @@ def later_tiles(made: DataFrame, width: int) -> DataFrame:
     names = [c.split()[0] for c in kind.split(", ")]
 
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                m = Matrix(row, width)
-                at, going = np.flatnonzero(m.tiles > 0), np.flatnonzero(m.more)
-                rows = np.concatenate([at, going])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(len(rows)) < len(at)), pa.array(m.convs[rows]), pa.array(m.tiles[rows]),
-                    pa.array(np.full(len(rows), row["shard"], np.int32)), pa.array(np.full(len(rows), row["number"], np.int32)),
-                    pa.array(rows.astype(np.int32)),
-                    pa.array(m.start[rows, 1].astype(np.int64) if m.wide else np.zeros(len(rows), np.int64)),
-                    pa.array(m.new_bytes[rows]), pa.array(m.all_bytes[rows]), pa.array(m.leaf[rows])], names=names)
+        for row in common.rows_of(batches):
+            m = Matrix(row, width)
+            at, going = np.flatnonzero(m.tiles > 0), np.flatnonzero(m.more)
+            rows = np.concatenate([at, going])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.arange(len(rows)) < len(at)), pa.array(m.convs[rows]), pa.array(m.tiles[rows]),
+                pa.array(np.full(len(rows), row["shard"], np.int32)), pa.array(np.full(len(rows), row["number"], np.int32)),
+                pa.array(rows.astype(np.int32)),
+                pa.array(m.start[rows, 1].astype(np.int64) if m.wide else np.zeros(len(rows), np.int64)),
+                pa.array(m.new_bytes[rows]), pa.array(m.all_bytes[rows]), pa.array(m.leaf[rows])], names=names)
 
     told = stage(made.mapInArrow(run, kind), "long-rows")
     sums = ["new_bytes", "all_bytes", "leaf"]
@@ -322,19 +321,18 @@ def edge_nodes(made: DataFrame, width: int) -> DataFrame:
     kind = "shard int, number int, path binary, conv long, n_convs long, n_children long, n_leaves long, saved long, ends string"
 
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                m, out = matrix(row, width), []
-                for j in range(m.wide + 1):
-                    first, stop, least, sums = m.nodes(j)
-                    for i in np.flatnonzero(m.beyond(first, stop, j)).tolist():
-                        f, s = int(first[i]), int(stop[i])
-                        children, leaves, saved, ending = (int(v[i]) for v in sums)
-                        out.append({"shard": row["shard"], "number": row["number"], "path": m.path(f, j), "conv": int(least[i]),
-                                    "n_convs": s - f, "n_children": children, "n_leaves": leaves, "saved": saved,
-                                    "ends": m.ends(f, ending) if ending else None})
-                if out:
-                    yield pa.RecordBatch.from_pylist(out, schema=schema)
+        for row in common.rows_of(batches):
+            m, out = matrix(row, width), []
+            for j in range(m.wide + 1):
+                first, stop, least, sums = m.nodes(j)
+                for i in np.flatnonzero(m.beyond(first, stop, j)).tolist():
+                    f, s = int(first[i]), int(stop[i])
+                    children, leaves, saved, ending = (int(v[i]) for v in sums)
+                    out.append({"shard": row["shard"], "number": row["number"], "path": m.path(f, j), "conv": int(least[i]),
+                                "n_convs": s - f, "n_children": children, "n_leaves": leaves, "saved": saved,
+                                "ends": m.ends(f, ending) if ending else None})
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     def digest(batches):
         path, sha = None, None
@@ -378,37 +376,36 @@ def all_nodes(made: DataFrame, width: int) -> DataFrame:
     ``n_convs`` tell for each conversation that goes on the node it leaves its tile at.
     """
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                m = matrix(row, width)
-                edges = {bytes(e["path"]): e for e in row["edges"] or []}
-                above = None
-                for j in range(m.wide + 1):
-                    first, stop, least, (children, leaves, saved, ending) = m.nodes(j)
-                    starts, n_convs = m.start[first, j], stop - first
-                    shas = [hashlib.sha256(m.ends(f, e).encode()).hexdigest() if e else NO_ENDS
-                            for f, e in zip(first.tolist(), ending.tolist(), strict=True)]
-                    for i in np.flatnonzero(m.beyond(first, stop, j)).tolist():
-                        e = edges[m.path(int(first[i]), j)]
-                        least[i], n_convs[i], children[i], leaves[i], saved[i], shas[i] = (
-                            e["conv"], e["n_convs"], e["n_children"], e["n_leaves"], e["saved"], e["sha"])
-                    here = np.full(m.n, -1, np.int64)
-                    for_rows = np.repeat(np.arange(len(first)), stop - first)
-                    rows = np.concatenate([np.arange(f, s) for f, s in zip(first, stop, strict=True)]) if len(first) else for_rows
-                    here[rows] = least[for_rows]
-                    known = np.zeros(len(first), bool) if j == 0 else (m.tiles[first] == 0) | (j > 1)
-                    parent = pa.array(above[first] if above is not None else np.zeros(len(first), np.int64), mask=~known)
-                    at = np.flatnonzero(starts)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(least), pa.array(m.tiles[first] * width + j), parent, pa.array(n_convs), pa.array(children),
-                        pa.array(leaves), pa.array(saved), pa.array(shas, pa.string())], schema=schema).take(pa.array(at))
-                    above = here
-                going = np.flatnonzero(m.more)
-                if len(going):
-                    none = pa.nulls(len(going), pa.int64())
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(m.convs[going]), pa.array((m.tiles[going] + 1) * width), pa.array(above[going]), none, none, none,
-                        none, pa.nulls(len(going), pa.string())], schema=schema)
+        for row in common.rows_of(batches):
+            m = matrix(row, width)
+            edges = {bytes(e["path"]): e for e in row["edges"] or []}
+            above = None
+            for j in range(m.wide + 1):
+                first, stop, least, (children, leaves, saved, ending) = m.nodes(j)
+                starts, n_convs = m.start[first, j], stop - first
+                shas = [hashlib.sha256(m.ends(f, e).encode()).hexdigest() if e else NO_ENDS
+                        for f, e in zip(first.tolist(), ending.tolist(), strict=True)]
+                for i in np.flatnonzero(m.beyond(first, stop, j)).tolist():
+                    e = edges[m.path(int(first[i]), j)]
+                    least[i], n_convs[i], children[i], leaves[i], saved[i], shas[i] = (
+                        e["conv"], e["n_convs"], e["n_children"], e["n_leaves"], e["saved"], e["sha"])
+                here = np.full(m.n, -1, np.int64)
+                for_rows = np.repeat(np.arange(len(first)), stop - first)
+                rows = np.concatenate([np.arange(f, s) for f, s in zip(first, stop, strict=True)]) if len(first) else for_rows
+                here[rows] = least[for_rows]
+                known = np.zeros(len(first), bool) if j == 0 else (m.tiles[first] == 0) | (j > 1)
+                parent = pa.array(above[first] if above is not None else np.zeros(len(first), np.int64), mask=~known)
+                at = np.flatnonzero(starts)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(least), pa.array(m.tiles[first] * width + j), parent, pa.array(n_convs), pa.array(children),
+                    pa.array(leaves), pa.array(saved), pa.array(shas, pa.string())], schema=schema).take(pa.array(at))
+                above = here
+            going = np.flatnonzero(m.more)
+            if len(going):
+                none = pa.nulls(len(going), pa.int64())
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(m.convs[going]), pa.array((m.tiles[going] + 1) * width), pa.array(above[going]), none, none, none,
+                    none, pa.nulls(len(going), pa.string())], schema=schema)
 
     schema = pa.schema([*[(c, pa.int64()) for c in ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
                                                     "saved_tokens")], ("ends_sha256", pa.string())])
