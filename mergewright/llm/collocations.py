@@ -31,8 +31,8 @@ from mergewright.sources.staging import stage
 
 SUPPORT, LONGEST, TOP = 100, 5, 2000
 BLOCK_WORDS = 4 << 20
-#: Positions whose filter bits are looked up at a time.
-LOOKUP = 1 << 18
+#: Positions that are looked up or given out at a time, and shares of first words that are told apart one after the other.
+LOOKUP, SHARES = 1 << 17, 16
 BREAK = "\n"
 
 
@@ -111,6 +111,7 @@ def blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
                         if filling.size >= block_words:
                             yield filling.row(schema)
                             filling = Filling()
+                            common.free_memory()
                             if at < len(some):
                                 lead = some[max(0, at - LONGEST + 1):at]
                                 filling.add(lang, lead, dictionary)
@@ -128,26 +129,22 @@ class Block:
 
     def __init__(self, row: dict):
         self.langs = row["langs"]
-        self.words = row["words"].split("\n") if row["word_langs"] else []
+        self.text, self.split = row["words"], None
         self.word_langs = np.frombuffer(row["word_langs"], np.int32)
         ids = np.frombuffer(row["ids"], np.int32)
         # A negative number says how many words before it are the end of the block before: phrases that end in them were counted there.
         mark = np.flatnonzero(ids < 0)
         self.lead = -int(ids[mark[0]]) if len(mark) else 0
         self.ids = np.delete(ids, mark) if len(mark) else ids
-        n = len(self.words)
+        n = len(self.word_langs)
         self.high, self.low = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
         self.high[1:], self.low[1:] = np.frombuffer(row["hashes"], ">u8").reshape(-1, 2).T
         self.sizes = np.bincount(self.word_langs[self.ids[self.lead:][self.ids[self.lead:] > 0] - 1], minlength=len(self.langs))
 
     def hashes(self, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Two 64-bit hashes of the phrases of ``length`` words at positions ``at``."""
-        high = low = np.full(len(at), length, np.uint64)
-        for k in range(length):
-            word = self.ids[at + k]
-            high = mix((high + self.high[word]) * MULTIPLIER)
-            low = mix((low ^ self.low[word]) * MULTIPLIER)
-        return high, low
+        words = [self.ids[at + k] for k in range(length)]
+        return chained(np.stack([self.high[w] for w in words], axis=1), np.stack([self.low[w] for w in words], axis=1))
 
     def inside(self, filter_bits: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
         """Whether the phrases at positions ``at`` are in a filter."""
@@ -160,38 +157,62 @@ class Block:
         """Position of one occurrence of each distinct phrase of ``length`` words, and its number of occurrences.
 
         With ``known``, a filter of the frequent phrases of one word less, only phrases whose two parts of that length are in it.
+        Phrases are told apart a share of the first words at a time, so scratch memory is a part of the block.
         """
-        ids = self.ids
-        at = np.arange(max(0, len(ids) - length + 1))
-        for k in range(length):
-            at = at[ids[at + k] > 0]
+        n = max(0, len(self.ids) - length + 1)
+        ok = self.ids > 0
+        fits = ok[:n].copy()
+        for k in range(1, length):
+            fits &= ok[k:n + k]
+        fits[:max(0, self.lead - length + 1)] = False
         if length == 2 and known is not None:
-            ok = np.concatenate([[False], held(known, *self.word_hashes())])
-            at = at[ok[ids[at]] & ok[ids[at + 1]]]
+            frequent = np.concatenate([[False], held(known, *self.word_hashes())])[self.ids]
+            fits &= frequent[:n] & frequent[1:n + 1]
         elif known is not None:
-            shorter = np.zeros(len(ids) + 1, bool)
-            ask = np.union1d(at, at + 1)
-            shorter[ask] = self.inside(known, ask, length - 1)
-            at = at[shorter[at] & shorter[at + 1]]
-        at = at[at + length > self.lead]
-        # Equal phrases get equal numbers: a phrase is its first words' number and its last word.
-        number = ids[at].astype(np.int64)
-        for k in range(1, length):
-            number = np.unique(number * (len(self.words) + 1) + ids[at + k], return_inverse=True)[1]
-        _, first, counts = np.unique(number, return_index=True, return_counts=True)
-        return at[first], counts
+            shorter = np.zeros(n + 1, bool)
+            shorter[:n] = fits
+            shorter[1:] |= fits
+            for a in range(0, n + 1, LOOKUP):
+                ask = np.flatnonzero(shorter[a:a + LOOKUP]) + a
+                shorter[ask] = held(known, *self.hashes(ask, length - 1))
+            fits &= shorter[:n] & shorter[1:]
+        at = np.flatnonzero(fits).astype(np.int32)
+        share = self.ids[at] % SHARES
+        places, counts = [], []
+        for i in range(SHARES):
+            some = at[share == i]
+            # Equal phrases get equal numbers: a phrase is its first words' number and its last word.
+            number = self.ids[some].astype(np.int64)
+            for k in range(1, length):
+                number *= len(self.high)
+                number += self.ids[some + k]
+                if k < length - 1:
+                    number = np.unique(number, return_inverse=True)[1]
+            _, first, times = np.unique(number, return_index=True, return_counts=True)
+            places.append(some[first])
+            counts.append(times.astype(np.int32))
+        return np.concatenate(places), np.concatenate(counts)
 
     def word_hashes(self) -> tuple[np.ndarray, np.ndarray]:
-        one = np.full(len(self.words), 1, np.uint64)
-        return mix((one + self.high[1:]) * MULTIPLIER), mix((one ^ self.low[1:]) * MULTIPLIER)
+        return chained(self.high[1:, None], self.low[1:, None])
 
     def lang_of(self, at: np.ndarray) -> np.ndarray:
         return self.word_langs[self.ids[at] - 1]
 
-    def texts(self, at: np.ndarray, length: int) -> list[str]:
-        words = np.array(["", *self.words], object)
-        columns = [words[self.ids[at + k]] for k in range(length)]
-        return [" ".join(w) for w in zip(*columns, strict=True)] if length > 1 else columns[0].tolist()
+    def texts(self, at: np.ndarray, length: int) -> pa.Array:
+        if self.split is None:
+            self.split = pc.split_pattern(pa.array([self.text]), "\n").flatten()
+        columns = [self.split.take(pa.array(self.ids[at + k] - 1)) for k in range(length)]
+        return pc.binary_join_element_wise(*columns, " ") if length > 1 else columns[0]
+
+
+def chained(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each row of word hashes."""
+    out_high = out_low = np.full(len(high), high.shape[1], np.uint64)
+    for k in range(high.shape[1]):
+        out_high = mix((out_high + high[:, k]) * MULTIPLIER)
+        out_low = mix((out_low ^ low[:, k]) * MULTIPLIER)
+    return out_high, out_low
 
 
 def held(filter_bits: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
@@ -231,13 +252,16 @@ def mined(made: DataFrame, length: int, known, totals: dict[str, int], support:
             at, counts = block.phrases(length, known and known.value)
             least = local_support(support, block.sizes, np.array([totals[x] for x in block.langs], object))
             at = at[counts >= least[block.lang_of(at)]] if len(at) else at
-            yield pa.RecordBatch.from_arrays([keys_of(*block.hashes(at, length))], names=["key"])
+            for a in range(0, len(at), LOOKUP):
+                yield pa.RecordBatch.from_arrays([keys_of(*block.hashes(at[a:a + LOOKUP], length))], names=["key"])
+            del block, row, at, counts
+            common.free_memory()
 
     return made.mapInArrow(run, "key binary")
 
 
 def counted(made: DataFrame, length: int, known, united) -> DataFrame:
-    """Occurrences in all blocks of the united phrases: lang, phrase, key, f."""
+    """Occurrences in all blocks of the united phrases: lang, phrase, f."""
     def run(batches):
         common.forget_worker_cache()
         for row in common.rows_of(batches):
@@ -245,16 +269,34 @@ def counted(made: DataFrame, length: int, known, united) -> DataFrame:
             at, counts = block.phrases(length, known and known.value)
             keep = block.inside(united.value, at, length)
             at, counts = at[keep], counts[keep]
+            langs = pa.array(block.langs, pa.string())
             for a in range(0, len(at), LOOKUP):
                 some = at[a:a + LOOKUP]
-                langs = np.array([*block.langs, ""], object)[block.lang_of(some)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(langs, pa.string()), pa.array(block.texts(some, length), pa.string()),
-                     keys_of(*block.hashes(some, length)), pa.array(counts[a:a + LOOKUP].astype(np.int64))],
-                    names=["lang", "phrase", "key", "f"])
+                    [langs.take(pa.array(block.lang_of(some))), block.texts(some, length).cast(pa.string()),
+                     pa.array(counts[a:a + LOOKUP].astype(np.int64))], names=["lang", "phrase", "f"])
+            del block, row, at, counts
+            common.free_memory()
+
+    return made.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+
+
+def keyed(level: DataFrame) -> DataFrame:
+    """The keys of phrases, as ``Block.hashes`` has them at their positions."""
+    def run(batches):
+        import xxhash
+
+        common.forget_worker_cache()
+        for batch in batches:
+            out = []
+            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True):
+                values = [xxhash.xxh3_128_intdigest(f"{lang}\n{w}") for w in phrase.split(" ")]
+                out.append((len(values), [v >> 64 for v in values], [v & 0xFFFFFFFFFFFFFFFF for v in values]))
+            length = out[0][0] if out else 1
+            words = (np.array([o[i] for o in out], np.uint64).reshape(-1, length) for i in (1, 2))
+            yield pa.RecordBatch.from_arrays([keys_of(*chained(*words))], names=["key"])
 
-    return (made.mapInArrow(run, "lang string, phrase string, key binary, f long").groupBy("lang", "phrase")
-            .agg(F.first("key").alias("key"), F.sum("f").alias("f")))
+    return level.select("lang", "phrase").mapInArrow(run, "key binary")
 
 
 def sizes(made: DataFrame) -> DataFrame:
@@ -286,7 +328,7 @@ def frequent(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, bl
             known.unpersist()
         rows = level.select("lang", F.lit(length).alias("words"), "phrase", "f")
         found = rows if found is None else found.unionByName(rows)
-        known = filter_of(level, filter_bytes)
+        known = filter_of(stage(keyed(level), "frequent-keys"), filter_bytes)
     return found, by_lang
 
 

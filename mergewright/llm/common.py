@@ -47,11 +47,25 @@ def worker_cache(name: str, make: Callable[[], Any]) -> Any:
     return held[name]
 
 
+def free_memory() -> None:
+    """Hand memory that is free in this process back to the system: Arrow's, and the C library's where it can.
+
+    Workers live on between tasks; without this each would keep the most that any stage took.
+    """
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def forget_worker_cache() -> None:
-    """For functions that keep nothing: drop what an earlier stage kept, and Arrow's unused memory."""
+    """For functions that keep nothing: drop what an earlier stage kept, and hand free memory back."""
     if "_llm_worker_cache" in sys.modules:
         vars(sys.modules["_llm_worker_cache"]).get("held", {}).clear()
-    pa.default_memory_pool().release_unused()
+    free_memory()
 
 
 def slices(batch: pa.RecordBatch, column: str, budget: int = 4 << 20) -> Iterator[pa.RecordBatch]:
