@@ -80,7 +80,7 @@ def slices(batch: pa.RecordBatch, column: str, budget: int = 4 << 20) -> Iterato
         if end > start:
             yield batch.slice(start, end - start)
             # What a slice used goes back to the system before the next one.
-            pa.default_memory_pool().release_unused()
+            free_memory()
 
 
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:

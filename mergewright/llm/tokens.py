@@ -1,7 +1,7 @@
 """Byte-level BPE ids of whole texts by the tokenizers library, with repeated words encoded once.
 
 A byte-level pre-tokeniser always starts a pre-token at a space or line feed
-that stands alone between other characters, so a text may be cut there and its
+that stands alone between other characters, and ends one between a letter and a sign, so a text may be cut there and its
 parts encoded apart. The parts of an Arrow batch are reduced to distinct ones
 by Arrow; a distinct part is encoded once per Python worker and its ids are
 gathered by numpy. Texts with runs of three blanks, or of two at their end, are
@@ -29,8 +29,15 @@ SIMPLE = r"^ ?\p{L}+[^\s\x00-\x20\x7f-\x{a0}\p{L}\p{N}\p{M}\p{Z}']?\z"
 CUT = r"^( ?\p{L}+)([^\p{L}])\z"
 
 
-#: Distinct parts a worker keeps: some 100 MB.
-KEEP = 400_000
+#: Kinds of bytes that matter for cutting texts: others, signs, Latin letters, blanks, line feeds.
+SIGN_BYTE, LETTER_BYTE, BLANK_BYTE, FEED_BYTE = 1, 2, 3, 4
+KINDS_OF_BYTES = np.zeros(256, np.uint8)
+KINDS_OF_BYTES[33:127] = SIGN_BYTE
+KINDS_OF_BYTES[48:58] = 0
+KINDS_OF_BYTES[65:91] = KINDS_OF_BYTES[97:123] = LETTER_BYTE
+KINDS_OF_BYTES[32], KINDS_OF_BYTES[10] = BLANK_BYTE, FEED_BYTE
+#: Distinct parts a worker keeps: some 50 MB.
+KEEP = 200_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -40,6 +47,28 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def cut_parts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Parts of the texts that fall into whole pre-tokens, and the number of parts before each text (and after the last).
+
+    A part begins at each blank, around each line feed, and at a sign after a Latin letter: a run of letters ends
+    there in any case. The parts are views of the texts' own bytes.
+    """
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    first, last = int(offsets[0]), int(offsets[-1])
+    data = np.frombuffer(data, np.uint8)[first:last] if last > first else np.zeros(0, np.uint8)
+    kind = KINDS_OF_BYTES[data]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[:-1] = kind >= BLANK_BYTE
+    feed = kind == FEED_BYTE
+    cut[1:] |= feed
+    cut[1:-1] |= (kind[1:] == SIGN_BYTE) & (kind[:-1] == LETTER_BYTE)
+    cut[offsets - first] = True
+    starts = np.flatnonzero(cut)
+    split = pa.LargeStringArray.from_buffers(max(len(starts) - 1, 0), pa.py_buffer(starts), pa.py_buffer(data))
+    return split, np.searchsorted(starts, offsets - first)
+
+
 class Encoder:
     """Encodes texts; keeps up to ``keep`` distinct parts for later batches."""
 
@@ -139,9 +168,8 @@ class Encoder:
         rows = np.flatnonzero(~whole)
         if len(rows):
             some = texts if len(rows) == len(texts) else texts.take(pa.array(rows))
-            marked = pc.replace_substring(pc.replace_substring(some, "\n", "\0\n\0"), " ", "\0 ")
-            split = pc.split_pattern(marked, "\0")
-            coded = split.flatten().dictionary_encode()
+            split, bounds = cut_parts(some)
+            coded = split.dictionary_encode()
             parts = coded.dictionary.to_numpy(zero_copy_only=False)
             known = np.fromiter(map(self.index.get, parts, repeat(-1)), np.int64, len(parts))
             n, used = len(self.index), self.used
@@ -157,7 +185,6 @@ class Encoder:
             at = np.repeat((self.starts[unit] - (ends - sizes)), sizes)
             at += np.arange(total)
             ids = self.store[at]
-            bounds = split.offsets.to_numpy() - int(split.offsets[0].as_py())
             edges = np.concatenate([[0], ends])[bounds]
             for row, a, b in zip(rows.tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 out[row] = ids[a:b]
