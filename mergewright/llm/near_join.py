@@ -2,10 +2,12 @@
 
 1. Each text becomes a set of word shingles (see ``shingles``), a digest of the set and a
    signature. Texts with the same set are copies: one class, one row from here on.
-2. A forest has prefix tries; in each, a class is filed under ``depth`` of its ``HASHES`` hash values. Classes that
-   share a prefix meet in a bucket. Prefixes are the longest under which a pair at the threshold itself
-   is missed with a chance of ``MISSED`` at most, whatever else the corpus holds: at 0.8, 32 tries of 4 values.
-   In a bucket, signatures drop chance meetings, and what is left is told as a
+2. A forest has ``TRIES`` prefix tries; each sorts the classes by ``LONGEST`` of their ``HASHES`` hash values. Beginning with
+   whole prefixes, those that share one are linked; prefixes are then shortened value by value, a bucket whose
+   members already lie in one candidate group is passed over, and the others go on until a pair at the threshold itself
+   is missed with a chance of ``MISSED`` at most: at 0.8, down to 4 values. That holds for every class, whatever else the
+   corpus holds. Subtries of the shortest prefix are the buckets that classes are dealt by, so one shuffle serves all
+   lengths. Signatures drop chance meetings, and what is left is told as a
    forest of links, one row a class, never as pairs.
 3. Linked classes form candidate groups (connected components). The shingle sets
    of a group meet in blocks, and all pairs of a group, hence all candidate pairs, are
@@ -21,6 +23,7 @@ and linked to nothing else; where one row of a class is kept, only those equal b
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,8 @@ HASHES = 128
 THRESHOLD = 0.8
 #: Chance to miss a pair at the threshold, of the order of what ``CHANCE`` drops.
 MISSED = 1e-6
+#: Tries, and values of their longest prefixes. Up to HASHES // TRIES values, prefixes of different tries are independent.
+TRIES, LONGEST = 32, 8
 #: Estimated similarity below which a meeting is taken for chance: over 4 deviations below the threshold.
 CHANCE = 0.62
 #: Rows of a block; a block of a group also has so many shingles a row at most, on average.
@@ -120,76 +125,104 @@ def runs(batches, keys: list[str]):
 
 
 class Forest:
-    """Union-find over the rows of a block."""
+    """Candidate groups of the rows of a block: ``group[i]`` is the first row of row i's group."""
 
     def __init__(self, n: int):
-        self.parent = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = self.parent[self.parent[i]]
-            i = self.parent[i]
-        return i
+        self.group = np.arange(n)
 
     def link_rows(self, i: int, others: np.ndarray) -> None:
         """Link row i with all others."""
-        for j in others.tolist():
-            a, b = self.root(i), self.root(j)
-            if a != b:
-                self.parent[max(a, b)] = min(a, b)
+        groups = np.unique(self.group[np.append(others, i)])
+        if len(groups) > 1:
+            self.group[np.isin(self.group, groups[1:])] = groups[0]
 
 
-def missed(s: float, depth: int) -> float:
+def missed(s: float, depth: int, tries: int = TRIES) -> float:
     """Chance of a pair of similarity s to share no prefix of ``depth`` in any trie."""
-    return (1 - s ** depth) ** (HASHES // depth)
+    return (1 - s ** depth) ** tries
+
 
+def shortest_prefix(threshold: float, most: float = MISSED) -> int:
+    """The longest prefix that misses a pair at the threshold with a chance of ``most`` at most, 1 if none does.
+
+    Tries of prefixes up to ``HASHES // TRIES`` share no hash function, so their chances multiply.
+    """
+    return next((d for d in range(HASHES // TRIES, 1, -1) if missed(threshold, d) <= most), 1)
 
-def prefix_depth(threshold: float, most: float = MISSED) -> int:
-    """The longest prefix that misses a pair at the threshold with a chance of ``most`` at most, 1 if none does."""
-    return next((d for d in range(HASHES, 1, -1) if missed(threshold, d) <= most), 1)
 
+def grow(signatures: np.ndarray, trie: int, shortest: int, apart: np.ndarray | None = None, longest: int = LONGEST) -> np.ndarray:
+    """Groups of rows that share a prefix of one trie, by their first row.
 
-def meet(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Links of classes that meet in a bucket: rep, root."""
-    dealt = blocks(members, sizes, ["bucket"], BUCKET_BLOCK).repartition("bucket", "left", "right").sortWithinPartitions(
-        "bucket", "left", "right", "rep")
+    Rows are sorted by their prefixes of ``longest`` values. Beginning with those, prefixes are shortened value by value; at each
+    length, rows that share one and are not yet in one group are compared by their whole signatures, and a run of rows that already
+    lies in one group is passed over. ``apart`` tells blocks of which only rows of different ones are compared.
+    """
+    n = len(signatures)
+    prefix = signatures[:, (trie * (HASHES // TRIES) + np.arange(longest)) % HASHES]
+    order = np.lexsort(prefix.T[::-1])
+    change = np.ones((n, longest), bool)
+    change[1:] = prefix[order[1:]] != prefix[order[:-1]]
+    new = np.logical_or.accumulate(change, axis=1)
+    forest = Forest(n)
+    for depth in range(longest, shortest - 1, -1):
+        starts = np.flatnonzero(new[:, depth - 1])
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), n], strict=True):
+            if b - a < 2:
+                continue
+            run = np.sort(order[a:b])
+            if (forest.group[run] == forest.group[run[0]]).all():
+                continue
+            for at, i in enumerate(run[:-1].tolist()):
+                rest = run[at + 1:]
+                rest = rest[forest.group[rest] != forest.group[i]]
+                if apart is not None:
+                    rest = rest[apart[rest] != apart[i]]
+                if len(rest):
+                    forest.link_rows(i, rest[(signatures[rest] == signatures[i]).mean(axis=1) >= CHANCE])
+    return forest.group
+
+
+def meet(members: DataFrame, sizes: DataFrame, shortest: int) -> DataFrame:
+    """Links of classes that meet in a trie: rep, root."""
+    keys = ["trie", "bucket", "left", "right"]
+    dealt = (blocks(members, sizes, ["bucket"], BUCKET_BLOCK).select(*keys, "own", "rep", "signature").repartition(*keys)
+             .sortWithinPartitions(*keys, "rep"))
 
     def run(batches):
         common.forget_worker_cache()
-        for table in runs(batches, ["bucket", "left", "right"]):
+        for table in runs(batches, keys):
             rep, own = table["rep"].to_numpy(), table["own"].to_numpy()
             n = len(rep)
             if n < 2:
                 continue
             same_block = table["left"][0].as_py() == table["right"][0].as_py()
             sig = np.frombuffer(b"".join(table["signature"].to_pylist()), "<u2").reshape(n, HASHES)
-            forest = Forest(n)
-            for i in range(n - 1):
-                rest = np.arange(i + 1, n)
-                if not same_block:
-                    rest = rest[own[i + 1:] != own[i]]
-                forest.link_rows(i, rest[(sig[rest] == sig[i]).mean(axis=1) >= CHANCE])
-            root = np.array([forest.root(i) for i in range(n)])
+            root = grow(sig, table["trie"][0].as_py(), shortest, None if same_block else own)
             moved = np.flatnonzero(root != np.arange(n))
             if len(moved):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rep[moved], pa.int64()), pa.array(rep[root[moved]], pa.int64())], names=["a", "b"])
 
-    return (dealt.select("bucket", "left", "right", "own", "rep", "signature")
-            .mapInArrow(run, "a long, b long"))
+    return dealt.mapInArrow(run, "a long, b long")
+
 
+def candidate_links(reps: DataFrame, threshold: float = THRESHOLD, most: float = MISSED, shortest: int | None = None) -> DataFrame:
+    """Links between classes that met; a pair at the threshold is missed with a chance of ``most`` at most.
 
-def candidate_links(reps: DataFrame, threshold: float = THRESHOLD, most: float = MISSED) -> DataFrame:
-    """Links between classes that met; a pair at the threshold is missed with a chance of ``most`` at most."""
+    Classes are dealt by the shortest prefix that any of them is shortened to, so a task holds whole subtries. ``shortest`` sets
+    that length by hand.
+    """
     signed = reps.filter("n_shingles > 0").select("rep", "signature")
-    depth = prefix_depth(threshold, most)
-    filed = signed.select("rep", F.explode(F.sequence(F.lit(0), F.lit(HASHES // depth - 1))).alias("trie"), "signature").select(
-        "rep", F.xxhash64("trie", F.substring(
-            "signature", F.col("trie") * 2 * depth + 1, F.lit(2 * depth))).alias("bucket"))
+    shortest = shortest or shortest_prefix(threshold, most)
+    step = HASHES // TRIES
+    # A prefix longer than a trie's own hash functions goes on in those of the next one.
+    value = F.concat("signature", F.substring("signature", 1, 2 * LONGEST))
+    filed = signed.select("rep", F.explode(F.sequence(F.lit(0), F.lit(TRIES - 1))).alias("trie"), value.alias("value")).select(
+        "rep", "trie", F.xxhash64("trie", F.substring("value", F.col("trie") * (2 * step) + 1, F.lit(2 * shortest))).alias("bucket"))
     filed = stage(filed, "filed")
     sizes = stage(filed.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "buckets")
     shared = filed.join(sizes.select("bucket"), "bucket")
-    return stage(meet(shared.join(signed, "rep"), sizes), "links").distinct()
+    return stage(meet(shared.join(signed, "rep"), sizes, shortest), "links").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -224,12 +257,39 @@ def unfinished(edges: DataFrame) -> bool:
                 .filter("up > 1 or (up > 0 and down > 0)").take(1))
 
 
+def cells_by_size(members: DataFrame, threshold: float) -> DataFrame:
+    """Deal the classes of each group to cells of two blocks: adds ``left``, ``right`` and ``own``.
+
+    A group of one block is a cell by itself. The classes of a larger one are first told apart by the size of their sets, in steps of the
+    threshold: sets more than one step apart cannot be similar, so their blocks never meet.
+    """
+    # Long texts count as several rows, so that a block's shingles are bounded as its rows are.
+    weight = F.greatest(F.count("*"), F.ceil(F.sum("n_shingles") / F.lit(SHINGLES_PER_ROW))).cast("long")
+    large = stage(members.groupBy("component").agg(weight.alias("size")).filter(F.col("size") > GROUP_BLOCK), "large-groups")
+    step = F.floor(F.log(F.col("n_shingles").cast("double")) / F.lit(-math.log(threshold)) + 1e-9).cast("long")
+    small = members.join(large.select("component"), "component", "left_anti").withColumns(
+        {c: F.lit(0).cast("long") for c in ("left", "right", "own")})
+    rows = members.join(large.select("component"), "component").withColumn("step", step)
+    blocks_of = stage(rows.groupBy("component", "step").agg(F.ceil(weight / F.lit(GROUP_BLOCK)).cast("long").alias("n")), "blocks-of-steps")
+    own = F.col("step") * (1 << 20) + F.pmod(F.xxhash64("rep"), F.col("n"))
+    near = blocks_of.select("component", F.col("step").alias("beside"), F.col("n").alias("others"))
+    dealt = (rows.join(blocks_of, ["component", "step"]).withColumn("own", own)
+             .withColumn("beside", F.explode(F.sequence(F.col("step") - 1, F.col("step") + 1)))
+             .join(near, ["component", "beside"])
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)))
+             .withColumn("other", F.col("other") + F.col("beside") * (1 << 20)))
+    dealt = dealt.withColumns({"left": F.least("own", "other"), "right": F.greatest("own", "other")})
+    return small.unionByName(dealt.select(*small.columns))
+
+
 def verify(docs: DataFrame, reps: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """All pairs of each candidate group by their shingle sets: rep, root, and rows linked to."""
-    members = (groups.select(F.col("node").alias("rep"), "component")
-               .join(reps.select("rep", "copies", "n_shingles", "text_key"), "rep"))
-    texts = docs.select(text_key().alias("text_key"), common.text_or_empty("text").alias("text")).groupBy("text_key").agg(
-        F.first("text").alias("text"))
+    members = stage(groups.select(F.col("node").alias("rep"), "component")
+                    .join(reps.select("rep", "copies", "n_shingles", "text_key"), "rep"), "members")
+    # Only texts that the members need, and few others that the filter takes in, are shuffled.
+    wanted = exact_dedup.member_filter(members.select("text_key"))
+    texts = (docs.select(text_key().alias("text_key"), common.text_or_empty("text").alias("text")).filter(wanted(F.col("text_key")))
+             .groupBy("text_key").agg(F.first("text").alias("text")))
 
     def to_sets(batches):
         common.forget_worker_cache()
@@ -237,16 +297,14 @@ def verify(docs: DataFrame, reps: DataFrame, groups: DataFrame, threshold: float
             for part in common.slices(batch, "text"):
                 sets = shingles.shingle_sets(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in ("component", "rep", "copies")),
-                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["component", "rep", "copies", "shingles"])
+                    [*(part.column(c) for c in ("component", "rep", "copies", "left", "right", "own")),
+                     pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=["component", "rep", "copies", "left", "right", "own", "shingles"])
 
-    with_sets = (members.join(texts, "text_key").select("component", "rep", "copies", "text")
-                 .mapInArrow(to_sets, "component long, rep long, copies long, shingles binary"))
-    # Long texts count as several rows, so that a block's shingles are bounded as its rows are.
-    weight = F.greatest(F.count("*"), F.ceil(F.sum("n_shingles") / F.lit(SHINGLES_PER_ROW)))
-    sizes = stage(members.groupBy("component").agg(weight.cast("long").alias("size")), "sizes")
-    dealt = (blocks(with_sets, sizes, ["component"], GROUP_BLOCK).repartition("component", "left", "right")
-             .sortWithinPartitions("component", "left", "right", "rep"))
+    dealt = cells_by_size(members, threshold)
+    with_sets = (dealt.join(texts, "text_key").select("component", "rep", "copies", "left", "right", "own", "text")
+                 .mapInArrow(to_sets, "component long, rep long, copies long, left long, right long, own long, shingles binary"))
+    dealt = with_sets.repartition("component", "left", "right").sortWithinPartitions("component", "left", "right", "rep")
 
     def run(batches):
         common.forget_worker_cache()
@@ -264,7 +322,7 @@ def verify(docs: DataFrame, reps: DataFrame, groups: DataFrame, threshold: float
                 forest.link_rows(i, others)
             at = np.flatnonzero(links)
             if len(at):
-                roots = rep[np.array([forest.root(i) for i in at.tolist()])]
+                roots = rep[forest.group[at]]
                 yield pa.RecordBatch.from_arrays([pa.array(rep[at], pa.int64()), pa.array(roots, pa.int64()),
                                                   pa.array(links[at], pa.int64())], names=["a", "b", "links"])
 

@@ -144,16 +144,19 @@ def assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=list(FEATURES), outputCol="features")
 
 
-def candidates(docs: DataFrame, *keep: str) -> DataFrame:
-    """One row per candidate: ``keep``, number, start (code points before it), before, candidate, after.
+def hits(docs: DataFrame, *keep: str) -> DataFrame:
+    """Texts with candidates: ``keep``, ``__found`` (the candidates) and ``__between`` (what stands between them)."""
+    hit = docs.select(*keep, common.text_or_empty("text").alias("__text")).filter(F.col("__text").rlike(CANDIDATE))
+    return hit.select(*keep, F.regexp_extract_all("__text", F.lit(CANDIDATE), 0).alias("__found"),
+                      F.split("__text", CANDIDATE).alias("__between"))
+
+
+def candidates(parts: DataFrame, *keep: str) -> DataFrame:
+    """One row per candidate of ``hits``: ``keep``, number, start (code points before it), before, candidate, after.
 
     The text between candidates comes from splitting at them, so contexts and
     places need no search of their own.
     """
-    text = common.text_or_empty("text")
-    hit = docs.select(*keep, text.alias("__text")).filter(F.col("__text").rlike(CANDIDATE))
-    parts = hit.select(*keep, F.regexp_extract_all("__text", F.lit(CANDIDATE), 0).alias("__found"),
-                       F.split("__text", CANDIDATE).alias("__between"))
     lengths = F.transform(F.arrays_zip("__found", F.slice("__between", 1, F.size("__found")).alias("gap")),
                           lambda p: F.struct(F.length(p["gap"]).alias("g"), F.length(p["__found"]).alias("c")))
     # (end of the last candidate, starts so far)
@@ -166,37 +169,43 @@ def candidates(docs: DataFrame, *keep: str) -> DataFrame:
                     F.left(F.get("__between", F.col("number") + 1), F.lit(CONTEXT)).alias("after")))
 
 
-def scan(docs: DataFrame, model: RandomForestClassificationModel, *keep: str, threshold: float = THRESHOLD) -> DataFrame:
+def judged(found: DataFrame, model: RandomForestClassificationModel, threshold: float = THRESHOLD) -> DataFrame:
     """Candidates with ``score`` and ``is_secret``."""
-    scored = model.transform(assembler().transform(with_features(candidates(docs, *keep))))
+    scored = model.transform(assembler().transform(with_features(found)))
     return (scored.withColumn("score", vector_to_array("probability")[1])
             .drop("features", "rawPrediction", "probability", "prediction", *FEATURES)
             .withColumn("is_secret", F.col("score") >= threshold))
 
 
+def scan(docs: DataFrame, model: RandomForestClassificationModel, *keep: str, threshold: float = THRESHOLD) -> DataFrame:
+    """Candidates of all texts with ``score`` and ``is_secret``."""
+    return judged(candidates(hits(docs, *keep), *keep), model, threshold)
+
+
 def redact(docs: DataFrame, model: RandomForestClassificationModel) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by a mask, and ``n_chars`` (if there) counted anew.
 
-    Texts without candidates pass straight through. Decisions are a function of the text, so they
-    are taken once for each distinct text and joined back by its digest.
+    The pattern is searched once: rows are written with the candidates of their text and what stands between them, and both the
+    scan and the masking start from there. Texts without candidates pass straight through. Decisions are
+    a function of the text, so they are taken once for each distinct text and joined back by its digest.
     """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     text = common.text_or_empty("text")
-    keyed = docs.withColumn("__key", F.when(text.rlike(CANDIDATE), F.unhex(F.md5(text.cast("binary")))))
-    scanned = keyed.filter("__key is not null").select("__key", "text")
-    found = scan(scanned, model, "__key").filter("is_secret")
-    secrets = stage(found.groupBy("__key").agg(F.collect_set("number").alias("__secret")), "secrets")
-    judged = keyed.filter("__key is not null").join(secrets, "__key", "left")
-    pieces = F.split("text", CANDIDATE)
-    values = F.regexp_extract_all("text", F.lit(CANDIDATE), 0)
-    cleaned = (judged.filter("__secret is not null").withColumn("__pieces", pieces).withColumn("__values", values)
-               .withColumn("text", F.array_join(F.transform("__pieces", lambda p, i: F.concat(p, F.when(
-                   i >= F.size("__values"), "").when(F.array_contains("__secret", i), MASK)
-                   .otherwise(F.get("__values", i)))), "")))
+    parts = F.struct(F.regexp_extract_all(text, F.lit(CANDIDATE), 0).alias("found"), F.split(text, CANDIDATE).alias("between"))
+    searched = stage(docs.select(*columns, F.when(text.rlike(CANDIDATE), parts).alias("__parts")), "searched")
+    hit = searched.filter("__parts is not null").withColumn("__key", F.unhex(F.md5(text.cast("binary"))))
+    distinct = hit.select("__key", "__parts").dropDuplicates(["__key"]).select(
+        "__key", F.col("__parts.found").alias("__found"), F.col("__parts.between").alias("__between"))
+    secrets = stage(judged(candidates(distinct, "__key"), model).filter("is_secret").groupBy("__key").agg(
+        F.collect_set("number").alias("__secret")), "secrets")
+    masked = F.array_join(F.transform("__parts.between", lambda p, i: F.concat(
+        p, F.when(i >= F.size("__parts.found"), "").when(F.array_contains("__secret", i), MASK)
+        .otherwise(F.get("__parts.found", i)))), "")
+    cleaned = hit.join(secrets, "__key", "left").withColumn("text", F.when(F.col("__secret").isNull(), F.col("text")).otherwise(masked))
     if "n_chars" in docs.columns:
-        cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return (keyed.filter("__key is null").select(*columns)
-            .unionByName(judged.filter("__secret is null").select(*columns)).unionByName(cleaned.select(*columns)))
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col("__secret").isNull(), F.col("n_chars")).otherwise(counted))
+    return searched.filter("__parts is null").select(*columns).unionByName(cleaned.select(*columns))
 
 
 def op6_secret_scans(spark: SparkSession, folder: str) -> DataFrame:

@@ -119,6 +119,46 @@ def test_lone_pairs_at_the_threshold_are_found_beside_close_copies(spark):
     reps = spark.createDataFrame(rows, "rep long, n_shingles int, signature binary")
     found = near_join.candidate_links(reps).filter("greatest(a, b) < 4000")
     assert found.count() == 2000
+    # Prefixes that are never shortened lose some: some 1 % of such pairs at 8 values, of which two tries share half.
+    whole = near_join.candidate_links(reps, shortest=near_join.LONGEST).filter("greatest(a, b) < 4000")
+    assert 1900 < whole.count() < 2000
+
+
+def test_prefixes_are_shortened_step_by_step():
+    """A pair that shares four values of a trie, one that shares six, and a run that already lies in one group."""
+    width, trie = near_join.HASHES, 5
+    columns = (trie * 4 + np.arange(near_join.LONGEST)) % width
+    base = np.arange(width, dtype=np.uint16)
+    rows = np.stack([base] * 4)
+    for i, same in ((1, 8), (2, 6), (3, 4)):
+        rows[i, columns[same:]] += np.uint16(500 * i)
+    assert near_join.grow(rows, trie, 8).tolist() == [0, 0, 2, 3]
+    assert near_join.grow(rows, trie, 6).tolist() == [0, 0, 0, 3]
+    assert near_join.grow(rows, trie, 4).tolist() == [0, 0, 0, 0]
+    # Only rows of different blocks are compared, and chance meetings are dropped.
+    assert near_join.grow(rows, trie, 4, np.array([0, 0, 1, 1])).tolist() == [0, 0, 0, 0]
+    assert near_join.grow(rows[:2], trie, 4, np.array([0, 0])).tolist() == [0, 1]
+    far = rows[[0, 0]].copy()
+    far[1, np.setdiff1d(np.arange(width), columns)] += 1
+    assert near_join.grow(far, trie, 4).tolist() == [0, 1]
+    assert near_join.shortest_prefix(0.8) == 4 and near_join.missed(0.8, 5) > near_join.MISSED
+
+
+def test_blocks_of_sizes_far_apart_never_meet(spark):
+    sizes = {1: 100, 2: 101, 3: 79, 4: 126, 5: 60, 6: 200, 7: 100}
+    members = spark.createDataFrame([(9, i, 1, n, bytes([i])) for i, n in sizes.items()],
+                                    "component long, rep long, copies long, n_shingles int, text_key binary")
+    with_block = near_join.GROUP_BLOCK
+    try:
+        near_join.GROUP_BLOCK = 1
+        cells = {}
+        for r in near_join.cells_by_size(members, 0.8).collect():
+            cells.setdefault((r.left, r.right), set()).add(r.rep)
+    finally:
+        near_join.GROUP_BLOCK = with_block
+    met = {(a, b) for held in cells.values() for a in held for b in held if a < b}
+    near = {(a, b) for a in sizes for b in sizes if a < b and 0.8 <= sizes[a] / sizes[b] <= 1.25}
+    assert near <= met and (5, 6) not in met and (3, 6) not in met
 
 
 def test_blocks_of_a_few_rows_give_the_same(spark, monkeypatch):
