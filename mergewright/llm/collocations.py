@@ -244,7 +244,7 @@ def local_support(support: int, sizes: np.ndarray, totals: np.ndarray) -> np.nda
 
 
 def mined(made: DataFrame, length: int, known, totals: dict[str, int], support: int) -> DataFrame:
-    """Keys of the phrases that are frequent in some block at its lowered support."""
+    """The union over all blocks of the phrases that are frequent in one at its lowered support, as keys."""
     def run(batches):
         common.forget_worker_cache()
         for row in common.rows_of(batches):
@@ -257,7 +257,7 @@ def mined(made: DataFrame, length: int, known, totals: dict[str, int], support:
             del block, row, at, counts
             common.free_memory()
 
-    return made.mapInArrow(run, "key binary")
+    return made.mapInArrow(run, "key binary").distinct()
 
 
 def counted(made: DataFrame, length: int, known, united) -> DataFrame:

@@ -33,6 +33,8 @@ FILTER_BYTES = 64 << 20
 BITS_PER_ROW = 10
 HASHES = 3
 CHUNK = 4096
+#: Chunks that a task gives out at a time.
+CHUNKS_AT_ONCE = 512
 
 
 def digest(text: Column | str) -> Column:
@@ -69,24 +71,34 @@ def filter_bits(shas: DataFrame, bits: int, which: str = "twice") -> np.ndarray:
     """
     size = bits // 8
     chunk = min(CHUNK, size)
+    need_twice = which == "twice"
 
     def fill(batches):
         common.forget_worker_cache()
-        seen, twice = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
+        seen, twice = np.zeros(size, np.uint8), np.zeros(size if need_twice else 0, np.uint8)
         for batch in batches:
             if not batch.num_rows:
                 continue
             at = positions(batch.column(0), bits)
-            keys, first, counts = np.unique(at, axis=0, return_index=True, return_counts=True)
-            set_all(twice, keys[(counts > 1) | has_all(seen, keys)])
-            set_all(seen, keys)
+            if need_twice:
+                keys, counts = np.unique(at, axis=0, return_counts=True)
+                set_all(twice, keys[(counts > 1) | has_all(seen, keys)])
+                set_all(seen, keys)
+            else:
+                set_all(seen, at)
         yield from emit({i: (seen[i * chunk:(i + 1) * chunk], twice[i * chunk:(i + 1) * chunk])
                          for i in np.flatnonzero(seen.reshape(-1, chunk).any(axis=1)).tolist()})
 
     def emit(chunks):
-        yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(chunks), pa.int32()),
-                                          "seen": pa.array([s.tobytes() for s, _ in chunks.values()], pa.binary()),
-                                          "twice": pa.array([t.tobytes() for _, t in chunks.values()], pa.binary())})
+        items = list(chunks.items())
+        for i in range(0, len(items), CHUNKS_AT_ONCE):
+            some = items[i:i + CHUNKS_AT_ONCE]
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([c for c, _ in some], pa.int32()),
+                                              "seen": pa.array([s.tobytes() for _, (s, _) in some], pa.binary()),
+                                              "twice": pa.array([t.tobytes() if need_twice else b"" for _, (_, t) in some], pa.binary())})
+        del items
+        chunks.clear()
+        common.free_memory()
 
     def merge(batches):
         chunks: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -95,7 +107,7 @@ def filter_bits(shas: DataFrame, bits: int, which: str = "twice") -> np.ndarray:
                 s, t = np.frombuffer(s, np.uint8), np.frombuffer(t, np.uint8)
                 if i in chunks:
                     a, b = chunks[i]
-                    chunks[i] = (a | s, b | t | (a & s))
+                    chunks[i] = (a | s, b | t | (a & s) if need_twice else t)
                 else:
                     chunks[i] = (s, t)
         yield from emit(chunks)
