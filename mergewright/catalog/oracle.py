@@ -575,10 +575,17 @@ join numbered b on b.source = 'B' and b.profile = profile_B and b.number = numbe
 
 STATEMENTS: dict[str, str] = {
     "scan_text_na": f"select {', '.join(B_COLUMNS)} from null_b",
+    "scan_quoted": f"select {', '.join(B_COLUMNS)} from (select * replace ("
+                   "description || chr(10) || 'second line, of ' || id as description) from null_b)",
     "scan_typed": "select * from orders",
     "scan_inferred": "select o_orderkey, o_custkey, o_totalprice, o_orderstatus, o_orderpriority from orders",
     "describe_nan": describe("(select case when o_orderkey % 7 = 0 then null else o_totalprice end as price "
                              "from orders)", ["price"]),
+    "prepared_counts": """select strategy, split, label, count(*) as n,
+        cast(count(*) filter (price_A is null or price_B is null) as bigint) as without_price from (
+        select 'b1' as strategy, id_A, id_B, label, split, price_A, price_B from split_b1 join gt1 using (id_A, id_B, label)
+        union all select 'b2', id_A, id_B, label, split, price_A, price_B from split_b2 join gt2 using (id_A, id_B, label))
+        group by all""",
     "prepared_splits": "select id_A, id_B, label, split, 'b1' as strategy from split_b1 union all "
                        "select id_A, id_B, label, split, 'b2' from split_b2",
     "sink_roundtrip": f"select {_med} from med_b",
@@ -624,6 +631,7 @@ STATEMENTS: dict[str, str] = {
         from (select *, {block_text('make')} as block_make from med_b)) where r <= 5""",
     "dedup_vin_first": "select id, vin as vin_clean, price, mileage from vin_a",
     "dedup_vin_last": "select id, vin as vin_clean, price, mileage from vin_b",
+    "upsert_chunks": "select id, vin as vin_clean, price, mileage from vin_b",
     "records_from_pairs": records(),
     "records_for_linker": records(texts=True),
     "label_sample": """select id_A, id_B, label, model_A from (select *,
@@ -637,6 +645,8 @@ STATEMENTS: dict[str, str] = {
     "profile_top": f"select * from ({missing_rows('null_b', B_COLUMNS)}) "
                    "order by missing_count desc, attribute limit 50",
     "profile_approx": f"select *, true as within_bound from ({summary_rows('med_b', NAMES)})",
+    "profile_states": " union all ".join(
+        f"select * exclude (within_bound) from ({merged(c)})" for c in ("o_custkey", "o_totalprice")),
     "profile_merge": f"{merged('o_custkey')} union all {merged('o_totalprice')}",
     "numeric_stats": all_stats(),
     "describe_numeric": describe("lineitem", [

@@ -55,6 +55,7 @@ from mergewright.sources import (
     write_json,
     write_splits,
 )
+from mergewright.sources.keyed import KeyedTable
 from mergewright.sources.staging import new_path
 
 # Order of the rows of either source: the position, ties by id.
@@ -101,6 +102,13 @@ def scan_text_na(spark, folder):
     return scan_text(spark, path, raw.columns, multiline=True)
 
 
+def scan_quoted(spark, folder):
+    """The small source landed as one quoted file with line breaks in cells, read by byte ranges."""
+    raw = raw_b(spark, folder).withColumn("description", F.concat("description", F.lit("\nsecond line, of "), "id")).drop("pos")
+    path = write_csv(raw.coalesce(1), new_path(spark, "csv"))
+    return scan_text(spark, path, raw.columns, multiline=True)
+
+
 def scan_typed_orders(spark, folder):
     orders = table(spark, folder, "orders")
     return scan_typed(spark, write_csv(orders, new_path(spark, "csv")), orders.schema)
@@ -236,6 +244,17 @@ def dedup_vin(keep, side):
     return query
 
 
+def upsert_chunks(spark, folder):
+    """The small source brought into a stored table by VIN in three chunks, in the order of its rows; the last row counts."""
+    b = mediated(spark, folder)[1].withColumn("vin_clean", clean_vin(F.col("vin"))).filter("vin_clean is not null")
+    rows = stage(b.select("pos", "id", "vin_clean", "price", "mileage"), "upsert-rows")
+    kept = KeyedTable(new_path(spark, "by-vin"), ("vin_clean",), buckets=8)
+    last = rows.agg(F.max("pos")).first()[0] or 0
+    for chunk in range(3):
+        kept.upsert(rows.filter(F.floor(F.col("pos") * 3 / F.lit(last + 1)) == chunk), ORDER)
+    return kept.read(spark, rows).select("id", "vin_clean", "price", "mileage")
+
+
 def records_from_pairs(spark, folder):
     return pairs.records_from_pairs(mediate.drop_leakage(gt(spark, folder)).drop("label"))
 
@@ -301,6 +320,17 @@ def profile_merge(spark, folder):
             "mean", "std", "min", "max")], close.alias("within_bound"))
 
 
+def profile_states(spark, folder):
+    """Orders profiled as three parts, one of them first by mistake with half its rows; its second state replaces the first."""
+    orders, path = table(spark, folder, "orders"), new_path(spark, "profile-states")
+    part = F.pmod(F.col("o_orderkey"), F.lit(3))
+    halved = orders.filter((part == 1) & (F.col("o_custkey") % 2 == 0))
+    for name, rows in (("0", orders.filter(part == 0)), ("1", halved), ("2", orders.filter(part == 2)), ("1", orders.filter(part == 1))):
+        profile.keep_state(rows, path, name, ["o_custkey", "o_totalprice"])
+    whole = profile.merge_profiles(profile.kept_states(spark, path))
+    return whole.select("attribute", "missing_count", "count", *[F.round(c, 3).alias(c) for c in ("mean", "std", "min", "max")])
+
+
 def rounded(stats: DataFrame, *columns: str) -> DataFrame:
     return stats.withColumns({c: F.round(c, 4) for c in columns})
 
@@ -354,10 +384,15 @@ def split_sizes(spark, folder):
 
 def prepared_splits(spark, folder):
     a, b = mediated(spark, folder)
-    path = labelling.prepare_splits(a, b, new_path(spark, "prepared"), order=ORDER)
+    path = labelling.prepare_splits(a, b, new_path(spark, "prepared"), order=ORDER).path
     return spark.read.parquet(path).select("id_A", "id_B", "label", "split", "strategy")
 
 
+def prepared_counts(spark, folder):
+    """What was counted while the splits were written."""
+    return labelling.prepare_splits(*mediated(spark, folder), new_path(spark, "prepared"), order=ORDER).counts
+
+
 def linker_inputs(spark, folder):
     """Linker records and known links behind the training pairs."""
     train = stage(split_of(spark, folder).filter(F.col("split") == "train"), "train")
@@ -554,6 +589,7 @@ def link_join(spark, folder):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_text_na": scan_text_na,
+    "scan_quoted": scan_quoted,
     "scan_typed": scan_typed_orders,
     "scan_inferred": scan_inferred,
     "sink_roundtrip": sink_roundtrip,
@@ -584,6 +620,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topk_block": topk_block,
     "dedup_vin_first": dedup_vin("first", 0),
     "dedup_vin_last": dedup_vin("last", 1),
+    "upsert_chunks": upsert_chunks,
     "records_from_pairs": records_from_pairs,
     "records_for_linker": records_for_linker,
     "label_sample": label_sample,
@@ -595,6 +632,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_top": profile_top,
     "profile_approx": profile_approx,
     "profile_merge": profile_merge,
+    "profile_states": profile_states,
     "numeric_stats": numeric_stats,
     "describe_numeric": describe_numeric,
     "describe_nan": describe_nan,
@@ -604,6 +642,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_stratified": split_stratified,
     "split_sizes": split_sizes,
     "prepared_splits": prepared_splits,
+    "prepared_counts": prepared_counts,
     "sample_extras": sample_extras,
     "sample_negatives": sample_negatives,
     "training_pairs": training_pairs,

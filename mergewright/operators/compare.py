@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mergewright.functions.distance import affine_gap_fields
+from mergewright.functions.distance import TEXT_FIELDS, affine_gap_bounds, affine_gap_fields
 from mergewright.functions.numbers import log_distance, mileage_bin
 from mergewright.functions.similarity import exact, jaro_winkler_at_least, linear
 from mergewright.functions.text import norm_compare
@@ -57,6 +57,27 @@ def linker_features(pairs: DataFrame, *keep: str) -> DataFrame:
         *[F.isnull(far[f]).cast("double").alias(f"{f}_missing") for f in MAY_BE_MISSING])
 
 
+def linker_logit_bound(by_feature: dict[str, float], intercept: float) -> Column:
+    """The greatest log-odds that the linker can give a pair, without comparing its texts.
+
+    Prices and missing fields are known exactly; a text counts with the best distance for its weight that
+    its lengths allow.
+    """
+    out = F.lit(float(intercept))
+    for field in LINKER_FEATURES[:6]:
+        a, b = F.col(f"{field}_A"), F.col(f"{field}_B")
+        weight = by_feature[field]
+        if field in TEXT_FIELDS:
+            low, high = affine_gap_bounds(a, b)
+            best = low if weight < 0 else high
+        else:
+            best = log_distance(a, b)
+        out = out + F.lit(weight) * F.coalesce(best, F.lit(0.0))
+        if field in MAY_BE_MISSING:
+            out = out + F.lit(by_feature[f"{field}_missing"]) * F.isnull(best).cast("double")
+    return out
+
+
 def join_records(pairs: DataFrame, records: DataFrame, *columns: str) -> DataFrame:
     """Put both records next to each pair of ids, suffixed ``_A`` and ``_B``."""
     out = pairs

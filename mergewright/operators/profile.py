@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mergewright.functions.numbers import to_number
 from mergewright.schema import HLL_LG_K, TOP_ROWS
+from mergewright.sources.keyed import BUCKET, KeyedTable
 
 # Texts longer than this are counted by their digest, so that long free text
 # is not shuffled as a whole.
 LONG_TEXT = 64
+# Buckets of a table of kept states; a part has one row an attribute.
+STATE_BUCKETS = 16
 
 
 def _stacked(row: DataFrame, attributes: Sequence[str], fields: dict[str, str]) -> DataFrame:
@@ -136,6 +139,21 @@ def partial_profile(df: DataFrame, by: Sequence[str], columns: Sequence[str],
     return wide.select(*by, F.explode(entries).alias("e")).select(*by, "e.*")
 
 
+def keep_state(df: DataFrame, path: str, part: str, columns: Sequence[str]) -> None:
+    """Keep the mergeable profile of one part of a table, a file say, under its name.
+
+    A part that is profiled again replaces its own state, so a run that is repeated, or a file that was delivered twice, counts
+    once. ``kept_states`` reads all states back.
+    """
+    state = partial_profile(df.withColumn("part", F.lit(part)), ["part"], columns)
+    KeyedTable(path, ("part", "attribute"), buckets=STATE_BUCKETS).upsert(state, ["attribute"])
+
+
+def kept_states(spark: SparkSession, path: str) -> DataFrame:
+    """All states kept under ``path``, for ``merge_profiles``."""
+    return spark.read.parquet(path).drop(BUCKET)
+
+
 def merge_profiles(parts: DataFrame) -> DataFrame:
     """One profile from the profiles of disjoint parts.
 

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from mergewright.functions.missing import DEFAULT_TOKENS, NA_TOKENS, nulls_in_frame
+from mergewright.sources.quoted import read_quoted
 
 
 def _reader(spark: SparkSession, multiline: bool):
-    # Quotes inside a quoted cell are doubled. Cells with line breaks need
-    # multiline=True, which reads a file as one split: land such sources as many files.
+    # Quotes inside a quoted cell are doubled. With multiLine Spark reads a file as one split, see ``quoted`` for another way.
     return (spark.read.option("header", True).option("escape", '"')
             .option("multiLine", multiline).option("enforceSchema", False))
 
@@ -21,10 +21,12 @@ def scan_text(spark: SparkSession, path: str, columns: Sequence[str] | None = No
               tokens: Sequence[str] = NA_TOKENS, multiline: bool = False) -> DataFrame:
     """Every column as text, missing-value tokens as null.
 
-    With ``columns`` the header is checked against them and no look-ahead job
-    is needed.
+    With ``columns`` the header is checked against them. Cells with line breaks need ``multiline``; their records
+    are found by byte ranges, so one large file is read by many tasks.
     """
-    reader = _reader(spark, multiline)
+    if multiline:
+        return nulls_in_frame(read_quoted(spark, path, columns), tokens)
+    reader = _reader(spark, False)
     if columns is not None:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     return nulls_in_frame(reader.csv(path), tokens)

@@ -12,6 +12,7 @@ from mergewright.operators import (
     assign,
     blocking,
     candidates,
+    components,
     dedup,
     mediate,
     metrics,
@@ -322,13 +323,46 @@ def test_one_to_one_equals_greedy(spark):
     assert set(got) == greedy(rows)
 
 
-def test_equal_scores_settle_in_few_rounds(spark, monkeypatch):
+def test_equal_scores_settle_in_few_rounds(spark):
     rows = [(f"a{i}", f"b{j}", 0.9) for i in range(30) for j in range(30)]
     df = spark.createDataFrame(rows, "id_A string, id_B string, score double")
+    for limit, most in ((500_000, 4), (100, 40)):
+        rounds = []
+        got = assign.one_to_one(df, settled_in_task=limit, rounds=rounds).collect()
+        assert {(r["id_A"], r["id_B"]) for r in got} == greedy(rows) and len(got) == 30
+        assert len(rounds) <= most
+
+
+def test_a_chain_of_rising_scores_takes_few_rounds(spark):
+    """Each pair is better than the one before it, so mutually best pairs would settle one a round."""
+    n = 10_000
+    rows = [(f"a{(i + 1) // 2}", f"b{i // 2}", 0.5 + i / (2.5 * n)) for i in range(n)]
+    df = spark.createDataFrame(rows, "id_A string, id_B string, score double")
+    rounds = []
+    got = assign.one_to_one(df, rounds=rounds).collect()
+    assert {(r["id_A"], r["id_B"]) for r in got} == greedy(rows)
+    assert len(rounds) <= 20
+
+
+def test_large_components_are_halved(spark):
+    rng = random.Random(12)
+    rows = list({(f"a{rng.randrange(120)}", f"b{rng.randrange(90)}"): rng.choice([0.6, 0.6, rng.random() / 2 + 0.5])
+                 for _ in range(1500)}.items())
+    rows = [(a, b, s) for (a, b), s in rows]
+    df = spark.createDataFrame(rows + rows[:50], "id_A string, id_B string, score double")
+    got = [(r["id_A"], r["id_B"]) for r in assign.one_to_one(df, settled_in_task=60).collect()]
+    assert len(got) == len(set(got)) and set(got) == greedy(rows)
+
+
+def test_components_of_a_path_and_a_star(spark):
+    path = [(i, i + 1) for i in range(500)]
+    star = [(1000, 1000 + i) for i in range(1, 200)] + [(1100, 1000), (7000, 7000)]
     rounds = []
-    monkeypatch.setattr(assign, "mutual_best", lambda p, f=assign.mutual_best: rounds.append(1) or f(p))
-    assert assign.one_to_one(df).count() == 30
-    assert len(rounds) <= 12
+    got = {r["node"]: r["component"] for r in components.components(
+        spark.createDataFrame(path + star, "a long, b long"), rounds).collect()}
+    assert got == {i: 0 for i in range(501)} | {i: 1000 for i in range(1000, 1200)}
+    assert len(rounds) <= 10
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def linker_records(spark, rng, n=80):
@@ -357,12 +391,45 @@ def test_candidates_and_costs(spark):
     assert len(met) == len(set(met)) and set(met) == brute_met(records, rules)
     costs = {r["rule"]: r["pairs"] for r in candidates.rule_costs(records, rules).collect()}
     assert costs == {i: float(len(brute_met(records, [r]))) for i, r in enumerate(rules)}
-    # Blocks far above a task's rows are joined as grids: the same pairs.
+    # Values far above a task's records are counted in parts, and weights count a record several times.
+    for limit in (1, 5):
+        parts = candidates.rule_costs(records, rules, rows_per_task=limit).collect()
+        assert {r["rule"]: r["pairs"] for r in parts} == costs
+    heavy = candidates.rule_costs(records.withColumn("w", F.lit(3)), rules, "w").collect()
+    assert {r["rule"]: r["pairs"] for r in heavy} == {k: 9 * v for k, v in costs.items()}
+    counted = candidates.block_counts(records, rules).groupBy("rule").agg(F.max(F.col("a") * F.col("b")).alias("m")).collect()
+    assert {r["rule"]: float(r["m"]) for r in counted} == {
+        r["rule"]: r["largest"] for r in candidates.rule_costs(records, rules).collect()}
+    # Blocks far above a cell's rows are joined as grids: the same pairs.
     for limit in (1, 3, 7):
         grid = [(r["id_A"], r["id_B"]) for r in candidates.candidate_pairs(records, rules, rows_per_task=limit).collect()]
         assert len(grid) == len(set(grid)) and set(grid) == set(met)
 
 
+def test_tasks_form_equal_shares_of_the_pairs(spark):
+    """One huge block and many small ones: no task has over twice the mean, and one join makes the pairs of all rules."""
+    model = F.when(F.col("i") < 1500, F.lit("popular")).otherwise(F.concat(F.lit("rare "), (F.col("i") / 4).cast("int")))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("make", "string"), ("mileage", "double"), ("state", "string"))]
+    records = spark.range(16_000).select(
+        F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("source"), F.col("id").cast("string").alias("id"),
+        F.floor(F.col("id") / 2).alias("i")).select("source", "id", model.alias("model"), F.lit("2000").alias("year"),
+                                                    (F.col("i") % 50).cast("double").alias("price"), *none)
+    rules = [candidates.Rule(("model_whole",)), candidates.Rule(("year_whole", "price_whole"))]
+    # Joins by shuffle, as at size.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = candidates.candidate_pairs(records, rules, pairs_per_task=250_000)
+        tasks = [r["n"] for r in met.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        # Cells find their records by two joins, the pairs of both rules are formed by one.
+        plan = met._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert plan.count("Join Inner") == 3 and plan.count("(_a#") >= 1
+    assert len(tasks) >= 12 and max(tasks) <= 2 * sum(tasks) / len(tasks)
+
+
 def test_a_large_block_is_spread_over_tasks(spark):
     side = spark.range(3000).select(F.lit(1).alias("k"), F.col("id").alias("x"))
     met = blocking.grid_join(side.withColumnRenamed("x", "id_A"), side.withColumnRenamed("x", "id_B"), ["k"],
@@ -391,14 +458,14 @@ def test_learned_rules_cover_the_matches(spark):
     learned = candidates.learn_blocking(records, links)
     assert learned.uncovered == 0 and sum(learned.covered) == learned.matches == len(known)
     assert set(known) <= brute_met(records, learned.rules)
-    # Whatever is measured, and on however small a share costs are estimated, all are covered.
+    # Whatever is measured, all are covered, and the measured counts are exact.
     crowd = records.unionByName(records.filter("source = 'A'").withColumn(
         "id", F.explode(F.transform(F.sequence(F.lit(1), F.lit(30)), lambda i: F.concat_ws("-", "id", i)))))
-    for rows in (20, 50):
-        near = candidates.learn_blocking(records, links, crowd, estimate_rows=rows)
-        assert near.uncovered == 0 and sum(near.covered) == len(known)
-        costs = {near.rules[r["rule"]]: r["pairs"] for r in candidates.rule_costs(crowd, near.rules).collect()}
-        assert costs == {r: p for r, p in zip(near.rules, near.pairs) if p}
+    near = candidates.learn_blocking(records, links, crowd)
+    assert near.rules == learned.rules and near.uncovered == 0
+    counts = candidates.block_counts(crowd, near.rules).groupBy("rule").agg(F.sum(F.col("a") * F.col("b")).alias("pairs")).collect()
+    assert {near.rules[r["rule"]]: float(r["pairs"]) for r in counts if r["pairs"]} == {
+        r: p for r, p in zip(near.rules, near.pairs) if p}
     # Records repeated tenfold under new ids lead to the same rules.
     tenfold = records.withColumn("id", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(9)), lambda i: F.when(i == 0, F.col("id")).otherwise(F.concat_ws("-", "id", i)))))
@@ -452,7 +519,23 @@ def test_weighted_fit_equals_the_plain_loss(spark):
     for x, y, label in rows:
         e = 1 / (1 + math.exp(-(w[0] * x + w[1] * y + b))) - label
         g = [g[0] + e * x, g[1] + e * y, g[2] + e]
-    assert max(abs(g[0] + w[0]), abs(g[1] + w[1]), abs(g[2])) < 0.05
+    assert max(abs(g[0] + w[0]), abs(g[1] + w[1]), abs(g[2])) < 1e-6
+
+
+def test_fit_takes_few_jobs_and_stands_separable_data(spark, monkeypatch):
+    steps = []
+    monkeypatch.setattr(models, "newton_sums", lambda *a, f=models.newton_sums: steps.append(1) or f(*a))
+    rng = random.Random(5)
+    rows = [(x := rng.random() * 40 - 20, rng.random(), int(x > 0)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "x double, y double, label int")
+    fitted = models.fit_matcher(df, ["x", "y"])
+    assert len(steps) <= 25 and models.weights(fitted)[0]["x"] > 0.5
+    wrong = models.predict(df, *models.weights(fitted)).filter("prediction <> label").count()
+    assert wrong <= 4
+    with pytest.raises(ValueError, match="no pairs"):
+        models.fit_matcher(df.limit(0), ["x", "y"])
+    one = models.fit_matcher(df.filter("label = 1"), ["x", "y"])
+    assert models.predict(df, *models.weights(one)).filter("prediction = 0").count() == 0
 
 
 def test_nan_is_missing(spark):
