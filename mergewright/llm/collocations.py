@@ -19,6 +19,8 @@ not read. A text longer than a block runs on in the next one, with its last word
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -153,8 +155,8 @@ class Block:
             out[a:a + LOOKUP] = held(filter_bits, *self.hashes(at[a:a + LOOKUP], length))
         return out
 
-    def phrases(self, length: int, known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        """Position of one occurrence of each distinct phrase of ``length`` words, and its number of occurrences.
+    def phrases(self, length: int, known: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Positions of one occurrence of each distinct phrase of ``length`` words, and their numbers of occurrences.
 
         With ``known``, a filter of the frequent phrases of one word less, only phrases whose two parts of that length are in it.
         Phrases are told apart a share of the first words at a time, so scratch memory is a part of the block.
@@ -177,8 +179,7 @@ class Block:
                 shorter[ask] = held(known, *self.hashes(ask, length - 1))
             fits &= shorter[:n] & shorter[1:]
         at = np.flatnonzero(fits).astype(np.int32)
-        share = self.ids[at] % SHARES
-        places, counts = [], []
+        share = (self.ids[at] % SHARES).astype(np.int8)
         for i in range(SHARES):
             some = at[share == i]
             # Equal phrases get equal numbers: a phrase is its first words' number and its last word.
@@ -189,9 +190,8 @@ class Block:
                 if k < length - 1:
                     number = np.unique(number, return_inverse=True)[1]
             _, first, times = np.unique(number, return_index=True, return_counts=True)
-            places.append(some[first])
-            counts.append(times.astype(np.int32))
-        return np.concatenate(places), np.concatenate(counts)
+            if len(first):
+                yield some[first], times
 
     def word_hashes(self) -> tuple[np.ndarray, np.ndarray]:
         return chained(self.high[1:, None], self.low[1:, None])
@@ -249,12 +249,13 @@ def mined(made: DataFrame, length: int, known, totals: dict[str, int], support:
         common.forget_worker_cache()
         for row in common.rows_of(batches):
             block = Block(row)
-            at, counts = block.phrases(length, known and known.value)
+            del row
             least = local_support(support, block.sizes, np.array([totals[x] for x in block.langs], object))
-            at = at[counts >= least[block.lang_of(at)]] if len(at) else at
-            for a in range(0, len(at), LOOKUP):
-                yield pa.RecordBatch.from_arrays([keys_of(*block.hashes(at[a:a + LOOKUP], length))], names=["key"])
-            del block, row, at, counts
+            for at, counts in block.phrases(length, known and known.value):
+                at = at[counts >= least[block.lang_of(at)]]
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([keys_of(*block.hashes(at, length))], names=["key"])
+            del block
             common.free_memory()
 
     return made.mapInArrow(run, "key binary").distinct()
@@ -266,16 +267,16 @@ def counted(made: DataFrame, length: int, known, united) -> DataFrame:
         common.forget_worker_cache()
         for row in common.rows_of(batches):
             block = Block(row)
-            at, counts = block.phrases(length, known and known.value)
-            keep = block.inside(united.value, at, length)
-            at, counts = at[keep], counts[keep]
+            del row
             langs = pa.array(block.langs, pa.string())
-            for a in range(0, len(at), LOOKUP):
-                some = at[a:a + LOOKUP]
-                yield pa.RecordBatch.from_arrays(
-                    [langs.take(pa.array(block.lang_of(some))), block.texts(some, length).cast(pa.string()),
-                     pa.array(counts[a:a + LOOKUP].astype(np.int64))], names=["lang", "phrase", "f"])
-            del block, row, at, counts
+            for at, counts in block.phrases(length, known and known.value):
+                keep = block.inside(united.value, at, length)
+                at, counts = at[keep], counts[keep]
+                if len(at):
+                    yield pa.RecordBatch.from_arrays(
+                        [langs.take(pa.array(block.lang_of(at))), block.texts(at, length).cast(pa.string()),
+                         pa.array(counts.astype(np.int64))], names=["lang", "phrase", "f"])
+            del block
             common.free_memory()
 
     return made.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 WHITE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Fixed value: the C library's number for the size from which a buffer is the system's own; and that size in bytes.
+M_MMAP_THRESHOLD, LARGE_BUFFER = -3, 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,6 +45,7 @@ def worker_cache(name: str, make: Callable[[], Any]) -> Any:
     held = vars(store).setdefault("held", {})
     if name not in held:
         held.clear()
+        free_memory()
         held[name] = make()
     return held[name]
 
@@ -50,15 +53,20 @@ def worker_cache(name: str, make: Callable[[], Any]) -> Any:
 def free_memory() -> None:
     """Hand memory that is free in this process back to the system: Arrow's, and the C library's where it can.
 
-    Workers live on between tasks; without this each would keep the most that any stage took.
+    Workers live on between tasks; without this each would keep the most that any stage took. From the first call on, large
+    buffers come from the system one by one and go back when they are freed.
     """
     import ctypes
 
-    pa.default_memory_pool().release_unused()
     try:
-        ctypes.CDLL(None).malloc_trim(0)
+        library = ctypes.CDLL(None)
+        if pa.default_memory_pool().backend_name != "system":
+            pa.set_memory_pool(pa.system_memory_pool())
+            library.mallopt(M_MMAP_THRESHOLD, LARGE_BUFFER)
+        library.malloc_trim(0)
     except (AttributeError, OSError):  # another C library
         pass
+    pa.default_memory_pool().release_unused()
 
 
 def forget_worker_cache() -> None:
