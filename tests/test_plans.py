@@ -154,3 +154,22 @@ def test_plans_have_no_cross_join_and_one_python_step(spark):
     rules = [candidates.Rule(("model_whole",)), candidates.Rule(("price_log", "year_whole"))]
     plan = plan_of(candidates.candidate_pairs(linker_records(spark, random.Random(4)), rules))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_a_score_bound_drops_no_link(spark):
+    """Pairs out of reach are told from numbers and lengths; no pair at the threshold is among them."""
+    rng = random.Random(6)
+    texts = ["red bolt", "red bolts", "a", "abcdefghij", "cold widget x", "cold widgets", None]
+    rows = [(str(i), *[rng.choice(texts) for _ in range(4)], *[rng.choice([None, 5.0, 70.0, 8000.0]) for _ in range(4)],
+             *[rng.choice(["2000", "2001", "99", None]) for _ in range(2)], *[rng.choice(["tx", "ca", None]) for _ in range(2)]) for i in range(400)]
+    table = spark.createDataFrame(rows, "id_A string, model_A string, model_B string, make_A string, make_B string, price_A double, "
+                                  "price_B double, mileage_A double, mileage_B double, year_A string, year_B string, state_A string, state_B string")
+    signs = [(-1.0, -2.0, -3.0, -1.0, -2.0, 0.5, -1.0, 0.2, -0.5, -0.1), (1.5, -0.7, 0.9, -2.0, 1.0, -0.4, 0.3, -0.6, 0.2, 0.8)]
+    for numbers in signs:
+        model = models.Matcher(tuple(compare.LINKER_FEATURES), numbers, 4.0)
+        bound = compare.linker_logit_bound(*models.weights(model))
+        features = compare.linker_features(table.withColumn("bound", bound).withColumn("can", linkage.can_reach(model)), "id_A", "bound", "can")
+        scored = models.predict(features, *models.weights(model)).withColumn("z", F.log(F.col("score") / (1 - F.col("score"))))
+        assert scored.filter("z > bound + 1e-6").count() == 0
+        assert scored.filter("prediction = 1 and not can").count() == 0
+        assert 0 < scored.filter("not can").count() < 400
