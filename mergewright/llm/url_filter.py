@@ -5,14 +5,16 @@ encodes the listed keys; level 2 encodes those unlisted keys of the universe
 that level 1 takes for listed; level 3 those listed keys that level 2 takes in;
 and so on until a level makes no mistake. A key is then judged by the first
 level that lacks it, which is exact for every key of the universe: no join is
-needed to ask. The filters travel inside the query as binary constants.
+needed to ask. The filters are a written table of one row a level; a query takes each bitmap from
+it once, by a scalar subquery, however many bits it asks for.
 
 Size bound: the cascade holds some bits per listed key and per expected mistake, whatever
 the size of the corpus; ``MAX_BYTES`` is checked as levels are built. Beyond it
 build several cascades, each over a share of the list.
 
 A null url, or one without ``://``, has an empty host and path; no rule fits it and it is
-allowed. Only DataFrame functions are used.
+allowed. Repeated rows are judged each; other columns are not read, whatever their names; no pages give no rows. Only
+DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from mergewright.llm import common
 from mergewright.sources.staging import stage
 
-MAX_BYTES = 256 << 20
+MAX_BYTES = 64 << 20
 #: Share of mistakes of the levels after the first.
 LATER_RATE = 1 / 16
 #: Bits of one bitmap of Spark's bitmap functions.
@@ -57,16 +59,18 @@ def suffixes(host: Column, labels: int) -> Column:
 
 @dataclass
 class Cascade:
-    """Levels as (bits, hashes, bitmap)."""
+    """Levels as (bits, hashes, written table of the one bitmap)."""
 
-    levels: list[tuple[int, int, bytes]] = field(default_factory=list)
+    levels: list[tuple[int, int, DataFrame]] = field(default_factory=list)
 
     def in_level(self, key: Column, level: int) -> Column:
-        bits, hashes, bitmap = self.levels[level]
+        bits, hashes, table = self.levels[level]
+        bitmap = table.scalar()
+        # Bits are looked up one after the other, until one is missing.
         found = F.lit(True)
-        for at in bit_positions(key, level, bits, hashes):
-            byte = F.conv(F.hex(F.substring(F.lit(bitmap), (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10)
-            found = found & (F.getbit(byte.cast("bigint"), (at % 8).cast("int")) == 1)
+        for at in reversed(bit_positions(key, level, bits, hashes)):
+            byte = F.ascii(F.decode(F.substring(bitmap, (F.shiftright(at, 3) + 1).cast("int"), F.lit(1)), "ISO-8859-1"))
+            found = F.when(F.getbit(byte.cast("bigint"), (at % 8).cast("int")) == 1, found).otherwise(F.lit(False))
         return found
 
     def contains(self, key: Column) -> Column:
@@ -78,7 +82,7 @@ class Cascade:
         return answer
 
     def size(self) -> int:
-        return sum(len(bitmap) for _, _, bitmap in self.levels)
+        return sum(-(-bits // 8) for bits, _, _ in self.levels)
 
 
 def bit_positions(key: Column, level: int, bits: int, hashes: int) -> list[Column]:
@@ -87,8 +91,8 @@ def bit_positions(key: Column, level: int, bits: int, hashes: int) -> list[Colum
     return [(first + F.lit(i) * step) % size for i in range(hashes)]
 
 
-def bitmap_of(keys: DataFrame, level: int, bits: int, hashes: int) -> bytes:
-    """Bitmaps are built by aggregation; the driver gets the finished filter, of a checked size."""
+def bitmap_of(keys: DataFrame, level: int, bits: int, hashes: int) -> DataFrame:
+    """Bitmaps are built by aggregation; the driver puts the finished filter together, of a checked size, and writes it."""
     rows = (keys.select(F.explode(F.array(*bit_positions(F.col("key"), level, bits, hashes))).alias("at"))
             .groupBy(F.bitmap_bucket_number(F.col("at") + 1).alias("bucket"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("at") + 1)).alias("bitmap")).collect())
@@ -96,7 +100,8 @@ def bitmap_of(keys: DataFrame, level: int, bits: int, hashes: int) -> bytes:
     for row in rows:
         start = (row.bucket - 1) * BUCKET // 8
         out[start:start + len(row.bitmap)] = row.bitmap
-    return bytes(out[:-(-bits // 8)])
+    spark = keys.sparkSession
+    return stage(spark.createDataFrame([(bytes(out[:-(-bits // 8)]),)], "bitmap binary"), "bitmap")
 
 
 def build(universe: DataFrame, listed: DataFrame, max_bytes: int = MAX_BYTES) -> Cascade:
@@ -145,7 +150,11 @@ def judge(pages: DataFrame, cascade: Cascade, labels: int,
             chosen = F.when(fits, F.lit(value(rule))).otherwise(chosen)
         return chosen
 
-    listed = F.exists(suffixes(F.col("host"), labels), cascade.contains)
+    # Domain by domain: a scalar subquery cannot stand inside a function of an array's elements.
+    listed = F.lit(False)
+    for i in range(1, labels + 1):
+        domain = F.substring_index("host", ".", -i)
+        listed = listed | ((domain != "") & cascade.contains(domain))
     return (parsed.withColumn("rule", first_fit(lambda r: r[0] + r[1])).withColumn("listed", listed)
             .withColumn("verdict", F.coalesce(first_fit(lambda r: r[2]),
                                               F.when(F.col("listed"), "block").otherwise("allow"))))

@@ -185,14 +185,23 @@ def test_counts_equal_plain_python(spark, edge, none):
 
 def test_a_bad_host_is_dropped_and_a_small_one_is_not(spark):
     good = " ".join(f"word{i}" for i in range(30))
+    signs, lines = good + " #" * 10, (good + "\n") * 2 + "a\nb\nc"
     rows = [(i, good if i % 10 else "short", "fine") for i in range(100)]
     rows += [(200 + i, "short" if i % 10 else good, "bad") for i in range(100)]
     rows += [(400 + i, good, f"h{i % 20}") for i in range(100)] + [(600, "short", "tiny"), (601, good, "tiny"), (602, good, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    # What fails no base rule: signs and repeated lines, by which hosts are told all the same.
+    rows += [(700 + i, signs if i % 8 else good, "signs") for i in range(80)] + [(800, signs, "one sign"), (801, good, "one sign")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns(
+        {c: F.lit("clash") for c in ("host", "docs", "kept", "short", "rated", "n_words")})
     out = {r.doc_id: r for r in host_quality.judge(docs).collect()}
     assert len(out) == len(rows)
-    assert not out[200].base_failed and not out[200].kept
+    assert not out[200].base_failed and not out[200].kept and out[200].host_rule == "short"
     assert out[1].kept and out[601].kept and out[602].kept and not out[600].kept
+    assert not out[700].base_failed and not out[700].kept and out[700].host_rule == "signs"
+    assert out[800].kept and out[801].kept
+    # A rule no document fails rejects no host, and hosts that are all alike are left alone.
+    alike = spark.createDataFrame([(i, lines if i % 3 else good, f"h{i % 9}") for i in range(180)], "doc_id long, text string, source string")
+    assert not [r for r in host_quality.judge(alike).collect() if r.host_rule]
 
 
 def test_cascade_is_exact_for_its_universe(spark):
@@ -207,16 +216,27 @@ def test_cascade_is_exact_for_its_universe(spark):
         url_filter.build(universe, listed, max_bytes=4)
     empty = url_filter.build(universe, listed.limit(0))
     assert not empty.levels and universe.filter(empty.contains(F.col("key"))).count() == 0
+    assert empty.size() == 0 and url_filter.judge(spark.createDataFrame([], "page_id long, url string"), cascade, 2).count() == 0
     everything = url_filter.build(universe, universe)
     assert universe.filter(~everything.contains(F.col("key"))).count() == 0
 
 
+def test_a_large_filter_is_asked_bit_by_bit(spark):
+    """8 MB and 7 hashes, which as constants of the plan took over 2 GB."""
+    bits, hashes = 8 * (8 << 20), 7
+    keys = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"))
+    table = url_filter.bitmap_of(keys.filter("hash(key) % 2 = 0"), 0, bits, hashes)
+    cascade = url_filter.Cascade([(bits, hashes, table)])
+    told = keys.withColumn("told", cascade.contains(F.col("key")))
+    assert told.filter("told <> (hash(key) % 2 = 0)").count() == 0 and cascade.size() == 8 << 20
+
+
 def test_urls_are_judged(spark):
     urls = {1: None, 2: "no-mark", 3: "http://WWW.Spam-Farm.example.net/en/1?x#y", 4: "https://a.example.org/en/12",
             5: "https://a.example.org/es/", 6: "https://example.org", 7: "ftp://x.com/fr/a://b", 8: "://", 9: "http://x.com/de/#f",
             10: "http://notexample.org/es/1", 11: "http://spam-farm.example.com", 12: "x" * 9000 + "://" + "a." * 3000 + "b/p"}
-    pages = spark.createDataFrame([(k, v, "clash") for k, v in urls.items()], "page_id long, url string, host string").select(
-        "page_id", "url")
+    pages = spark.createDataFrame([(k, v, "clash") for k, v in urls.items()], "page_id long, url string, host string").withColumns(
+        {c: F.lit("clash") for c in ("path", "rule", "verdict", "listed", "key")})
     universe = pages.select(F.explode(url_filter.suffixes(url_filter.host_and_path("url")[0], 3)).alias("key"))
     cascade = url_filter.build(universe, universe.filter("key like 'spam-farm.example.%'"))
     out = {r.page_id: (r.host[:30], r.path, r.rule, r.verdict) for r in url_filter.judge(pages, cascade, 3).collect()}
