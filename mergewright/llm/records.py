@@ -14,8 +14,8 @@ hold ascending ids. A task gives its files fresh names; the index, a Parquet
 table that Spark commits, lists the files that count. Files of failed or
 repeated attempts are never listed, so executors may be lost at any time.
 
-Null ids come first; a null text is an empty one; rows with an equal id are
-ordered by text. No row is dropped; an empty table gives an empty index.
+Null ids come first; a null text is an empty one; rows with an equal id follow each other
+in an order that a digest of their text decides between files and the text within one. No row is dropped; an empty table gives an empty index.
 """
 
 from __future__ import annotations
