@@ -32,7 +32,7 @@ from mergewright.llm.shingles import MULTIPLIER, mix
 from mergewright.sources.staging import stage
 
 SUPPORT, LONGEST, TOP = 100, 5, 2000
-BLOCK_WORDS = 2 << 20
+BLOCK_WORDS = 1 << 20
 #: Positions that are looked up or given out at a time, and shares of first words that are told apart one after the other.
 LOOKUP, SHARES = 1 << 17, 16
 BREAK = "\n"
