@@ -96,7 +96,8 @@ def jaro_winkler_at_least(a: Column, b: Column, threshold: float) -> Column:
     # A small slack, so that rounding in the bound cannot decide a pair.
     far = (len_a == 0) | (len_b == 0) | (bound < threshold - 1e-9)
     same = (a == b) & (len_a > 0)
-    unsure = ~far & ~same
+    # Equal texts are same or far; told first, they need no bound.
+    unsure = (a != b) & ~far
     score = _jaro_winkler(F.when(unsure, a), F.when(unsure, b))
     return F.coalesce(
         F.when(same, 1.0).when(far, 0.0).otherwise((score >= threshold).cast("double")),

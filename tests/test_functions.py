@@ -1,6 +1,7 @@
 """Scalar functions on hand-made rows."""
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from mergewright.functions import (
     to_year,
 )
 from mergewright.functions.distance import GAP_WEIGHT, SPACE_WEIGHT, affine_gap_arrays
+from mergewright.functions.text import vin_characters
 from mergewright.functions.similarity import (
     exact,
     jaro_winkler,
@@ -190,3 +192,16 @@ def plain_affine_gap(s, t):
 def test_affine_gap():
     got = affine_gap_arrays([a for a, _ in PAIRS], [b for _, b in PAIRS])
     assert got.tolist() == pytest.approx([plain_affine_gap(a, b) for a, b in PAIRS])
+
+
+def test_plain_and_other_texts_are_normalised_alike(spark):
+    # Printable ASCII takes a shorter way; both must give the text that the definition gives.
+    texts = ["", " ", "a  b", " A - b! ", "tab\there", "line\n", "x\n\ny", "caf\xe9 #1", "\xa0nb  sp　", "KK", "a~{}`^_[]\\|z",
+             "\x7f\x1f!", "\xdf-1ı", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select(
+        "i", norm_compare(F.col("t")).alias("t"), vin_characters(F.col("t")).alias("v")).orderBy("i").collect()
+    space = "\t-\r\x1c-\x20\x85\xa0  -     　"
+    for text, row in zip(texts, rows):
+        kept = re.sub(f"[^a-z0-9{space}]", "", ("nan" if text is None else text).lower())
+        assert row["t"] == re.sub(f"[{space}]+", " ", kept).strip(" ")
+        assert row["v"] == (None if text is None else re.sub("[^A-Za-z0-9]", "", text).upper())

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mergewright.operators import blocking, candidates, compare, models, pairs
 from mergewright.plans import classification, labelling, linkage
 from mergewright.schema import MEDIATED
+from mergewright.sources import staging
 from mergewright.sources.staging import new_path
 from tests.test_operators import linker_records, make_sources, md5, source
 
@@ -173,3 +174,31 @@ def test_a_score_bound_drops_no_link(spark):
         assert scored.filter("z > bound + 1e-6").count() == 0
         assert scored.filter("prediction = 1 and not can").count() == 0
         assert 0 < scored.filter("not can").count() < 400
+
+
+def test_pairs_of_blocks_are_formed_by_a_fixed_number_of_tasks(spark):
+    # Few bytes make many pairs: left to bytes, adaptive execution gives them all to one task or two.
+    many = spark.range(4000).selectExpr("concat('a', id) as id_A", "cast(id % 97 as string) as block_make", "if(id % 5 = 0, null, id % 5) as block_year")
+    few = spark.range(97 * 5).selectExpr("concat('b', id) as id_B", "cast(id % 97 as string) as block_make", "if(id div 97 = 0, null, id div 97) as block_year")
+    met = blocking.join_blocks(many, few, ["block_make", "block_year"], "id_A")
+    held = met.withColumn("part", F.spark_partition_id()).groupBy("part").agg(F.count("*").alias("n")).collect()
+    assert sum(r["n"] for r in held) == 4000
+    assert len(held) > spark.sparkContext.defaultParallelism
+
+
+def test_pairs_are_formed_once_for_both_sides(spark):
+    rows = spark.range(10).selectExpr("concat('a', id) as id_A", "concat('b', id) as id_B", "id as price_A", "id as price_B")
+    assert "Union" not in plan_of(pairs.records_from_pairs(rows))
+
+
+def test_texts_of_a_pair_are_normalised_once(spark):
+    columns = [f"{c}_{s} {k}" for c, k in (("id", "string"), ("model", "string"), ("make", "string"), ("year", "int"),
+                                           ("mileage", "double"), ("state", "string")) for s in ("A", "B")]
+    features = compare.pair_features(spark.createDataFrame([], ", ".join(columns)))
+    # Four texts, each by at most four replacements.
+    assert plan_of(features).count("regexp_replace") <= 16
+
+
+def test_written_tables_are_packed_well(spark):
+    written = staging.stage(spark.range(10).selectExpr("'some text' as t"), "packed")
+    assert all(".zstd." in f for f in written.inputFiles())
