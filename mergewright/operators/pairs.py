@@ -66,6 +66,30 @@ def negatives(a: DataFrame, b: DataFrame, strategy: BlockingStrategy,
     return met.filter(F.col("vin_A") != F.col("vin_B")).withColumn("label", F.lit(0))
 
 
+def matched(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The order columns of rows of A that share a VIN with a row of B."""
+    return a.join(b, F.col("vin_A") == F.col("vin_B"), "left_semi").select(*[c for c in a.columns if c.startswith("_order_A_")])
+
+
+def _blocked(a: DataFrame, b: DataFrame, strategy: BlockingStrategy, k: int, null_block: str, **spread: int) -> DataFrame:
+    """The order columns of rows of A with a pair in ``negatives``: a VIN besides their own among the first ``k`` of their block."""
+    top = first_per_block(with_block(b, strategy, null_block, "_B"), strategy.columns,
+                          [c for c in b.columns if c.startswith("_order_B_")], k, _RANK)
+    ends = top.groupBy(*strategy.columns).agg(F.min("vin_B").alias("_least"), F.max("vin_B").alias("_greatest"))
+    met = join_blocks(with_block(a, strategy, null_block, "_A"), ends, strategy.columns, "id_A", **spread)
+    return met.filter((F.col("_least") != F.col("vin_A")) | (F.col("_greatest") != F.col("vin_A"))).select(
+        *[c for c in a.columns if c.startswith("_order_A_")])
+
+
+def up_to(a: DataFrame, order: Sequence[str], paired: DataFrame, n: int) -> DataFrame:
+    """Rows of A, before the choice by VIN, up to the ``n``-th of the rows whose order columns ``paired`` holds."""
+    last = first_rows(paired, paired.columns, n).agg(F.max(F.struct(*paired.columns))).first()[0]
+    if last is None:
+        return a.limit(0)
+    bound = F.struct(*[F.lit(v).cast(a.schema[c].dataType).alias(f"_{i}") for i, (c, v) in enumerate(zip(order, last))])
+    return a.filter(F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)]) <= bound)
+
+
 def sides(a: DataFrame, b: DataFrame, order_a: Sequence[str] = ("id",),
           order_b: Sequence[str] = ("id",), keep_a: str = "first",
           keep_b: str = "last") -> tuple[DataFrame, DataFrame]:
@@ -80,13 +104,18 @@ def label_pairs(a: DataFrame, b: DataFrame, strategy: BlockingStrategy,
     """Matches by VIN and non-matches by block, as one labelled pair table.
 
     ``cap`` keeps the first so many pairs of each label in the order of A, of any
-    ordered type. The pairs are then written once, in the shared folder, before they are cut.
+    ordered type. Which rows of A have a pair is then found first, on the columns that tell it; only the pairs of the
+    first ``cap`` such rows are formed, written once, in the shared folder, and cut: no other pair can be among the first.
     """
     side_a, side_b = sides(a, b, order_a, order_b)
-    counted = with_block(a, strategy, null_block).select(*strategy.columns)
-    parts = [positives(side_a, side_b),
-             negatives(side_a, side_b, strategy, k, null_block, counted, **spread)]
-    if cap is not None:
+    if cap is None:
+        counted = with_block(a, strategy, null_block).select(*strategy.columns)
+        parts = [positives(side_a, side_b),
+                 negatives(side_a, side_b, strategy, k, null_block, counted, **spread)]
+    else:
+        met = [matched(side_a, side_b), _blocked(side_a, side_b, strategy, k, null_block, **spread)]
+        first = [sides(up_to(a, order_a, stage(m, "paired"), cap), b, order_a, order_b) for m in met]
+        parts = [positives(*first[0]), negatives(*first[1], strategy, k, null_block, **spread)]
         parts = [first_rows(stage(p, "uncapped"), _order(p), cap) for p in parts]
     columns = [*pair_columns(strategy), "label"]
     return parts[0].select(*columns).unionByName(parts[1].select(*columns))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,8 @@ from mergewright.sources.keyed import BUCKET, KeyedTable
 # Texts longer than this are counted by their digest, so that long free text
 # is not shuffled as a whole.
 LONG_TEXT = 64
+# Bytes of cells among which a task removes repeats at once.
+CELL_BYTES = 32 << 20
 # Buckets of a table of kept states; a part has one row an attribute.
 STATE_BUCKETS = 16
 
@@ -43,6 +47,44 @@ def missing_counts(df: DataFrame) -> DataFrame:
     return _stacked(row, df.columns, {"missing_count": "bigint"})
 
 
+def cells(df: DataFrame, columns: Sequence[str], wanted: Sequence[str], cell_bytes: int = CELL_BYTES) -> DataFrame:
+    """Cells of ``columns`` as (i, value, n): repeats and missing cells (a null) counted by column, ``cell_bytes`` at a time.
+
+    Only missing cells are given out for columns not ``wanted``. A value may come several times, from one task too.
+    """
+    asked = [c in set(wanted) for c in columns]
+    schema = pa.schema([("i", pa.int32()), ("value", pa.string()), ("n", pa.int64())])
+
+    def reduced(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        for i, column in enumerate(table.columns):
+            if asked[i]:
+                found = pc.value_counts(column)
+                values, n = found.field("values").cast(pa.string()), found.field("counts")
+            elif column.null_count:
+                values, n = pa.nulls(1, pa.string()), pa.array([column.null_count])
+            else:
+                continue
+            yield pa.RecordBatch.from_arrays([pa.array([i] * len(values), pa.int32()), values, n.cast(pa.int64())], schema=schema)
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= cell_bytes:
+                yield from reduced(held)
+                held, size = [], 0
+        if held:
+            yield from reduced(held)
+
+    # Of a column not asked for, only whether it is missing goes to Python.
+    texts = df.select(*[(_cell(c, df).cast("string") if own else F.when(_cell(c, df).isNotNull(), F.lit(True))).alias(f"c{i}")
+                        for i, (c, own) in enumerate(zip(columns, asked))])
+    value = F.when(F.length("value") > LONG_TEXT, F.concat(F.lit("#"), F.sha2("value", 256))).otherwise(F.col("value"))
+    return texts.mapInArrow(run, "i int, value string, n long").withColumn("value", value)
+
+
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Exact distinct values per column, nulls left out.
 
@@ -50,16 +92,8 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     repeats before the shuffle, which spreads by value and not by column.
     """
     present = [c for c in (columns or df.columns) if c in df.columns]
-
-    def value(c: str) -> Column:
-        text = _cell(c, df).cast("string")
-        return F.when(F.length(text) > LONG_TEXT, F.concat(F.lit("#"), F.sha2(text, 256))
-                      ).otherwise(text)
-
-    cells = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), value(c).alias("value")) for i, c in enumerate(present)
-    ])).alias("e")).select("e.i", "e.value").filter(F.col("value").isNotNull())
-    counts = cells.distinct().groupBy("i").agg(F.count("*").alias("unique_count"))
+    found = cells(df, present, present).filter(F.col("value").isNotNull())
+    counts = found.select("i", "value").distinct().groupBy("i").agg(F.count("*").alias("unique_count"))
     # A column with nothing but nulls has no cell, yet belongs in the profile.
     spark = df.sparkSession
     names = spark.range(len(present)).select(
@@ -177,20 +211,11 @@ def merge_profiles(parts: DataFrame) -> DataFrame:
 def profile_summary(df: DataFrame, distinct_of: Sequence[str] | None = None) -> DataFrame:
     """Missing and exact distinct counts by attribute; distinct null where not asked for.
 
-    One pass: every cell becomes an (attribute, value) row, a missing one a row without a
-    value; cells of attributes whose values are not asked for are kept only where missing.
+    One pass: tasks count the repeats of each cell, a missing one as a null; of attributes whose values are not
+    asked for only missing cells are counted.
     """
     names, wanted = df.columns, set(df.columns if distinct_of is None else distinct_of)
-
-    def value(c: str) -> Column:
-        text = _cell(c, df).cast("string")
-        return F.when(F.length(text) > LONG_TEXT, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(text)
-
-    cells = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), value(c).alias("value"),
-                 (_cell(c, df).isNull() if c not in wanted else F.lit(True)).alias("counted"))
-        for i, c in enumerate(names)])).alias("e")).select("e.*").filter("counted")
-    counts = cells.groupBy("i", "value").agg(F.count("*").alias("n")).groupBy("i").agg(
+    counts = cells(df, names, list(wanted)).groupBy("i", "value").agg(F.sum("n").alias("n")).groupBy("i").agg(
         F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("missing"), F.count("value").alias("unique"))
     listed = df.sparkSession.createDataFrame(
         [(i, c, c in wanted) for i, c in enumerate(names)], "i int, attribute string, asked boolean")
