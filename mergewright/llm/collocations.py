@@ -1,14 +1,13 @@
-"""Phrases that occur more often than their parts let expect: exact counts by partitioned mining (SON), length by length.
+"""Phrases that occur more often than their parts let expect: exact counts by hashed tallies (PCY), length by length.
 
 1. Each task cuts whole texts into pieces and words and writes blocks: numbers of words in a row of ``BLOCK_WORDS`` at most, with
-   the block's vocabulary. A block is a shard of the mining.
-2. For each length from one word on: a phrase with ``support`` occurrences in its language has, in some block, at least
-   the share of them that the block has of the language's words. Every block is mined completely at that
-   lowered support; the locally frequent phrases of all blocks are united, and all united phrases are counted in all blocks,
-   exactly. A phrase of more words is only looked at where both parts that lack its first and its last word are known to be frequent everywhere, so the
-   blocks of a corpus of any size do not give out all their phrases.
-3. United and frequent phrases reach the tasks as Bloom filters of bounded size (64 MB at most). A filter may let a phrase in that
-   is not in the union; it is counted exactly like the others and falls short of the support.
+   the block's vocabulary.
+2. For each length from one word on, each task adds up all occurrences of phrases in one table of slots, by the phrase's hash; the tables of all
+   tasks are summed. A phrase with ``support`` occurrences lies in a slot whose sum reaches it; only phrases of such slots are counted, in
+   all blocks, exactly. What leaves a task is one table, whatever the number of blocks and of phrases. A phrase of more
+   words is only looked at where both parts that lack its first and its last word are known to be frequent everywhere.
+3. Slots reach the tasks as a bitmap (16 MB at most), frequent phrases as a Bloom filter of bounded size (64 MB at most). Either may let a
+   phrase in that is not frequent; it is counted exactly like the others and falls short of the support.
 4. Cuts, scores and ranks are joins over the frequent phrases alone. Parts of a frequent phrase are frequent, so
    their counts are all there. Scores are computed in decimals of 38 digits.
 
@@ -36,6 +35,8 @@ BLOCK_WORDS = 2 << 20
 #: Positions that are looked up or given out at a time, and shares of first words that are told apart one after the other.
 LOOKUP, SHARES = 1 << 17, 16
 BREAK = "\n"
+#: Occurrences a slot is to hold on average, slots at least and at most, and the pieces in which a table of slots leaves its task.
+SLOT_LOAD, LEAST_SLOTS, MOST_SLOTS, PIECES = 16, 1 << 16, 1 << 27, 64
 
 
 def words_of(texts: pa.Array) -> pa.ListArray:
@@ -148,18 +149,18 @@ class Block:
         words = [self.ids[at + k] for k in range(length)]
         return chained(np.stack([self.high[w] for w in words], axis=1), np.stack([self.low[w] for w in words], axis=1))
 
-    def inside(self, filter_bits: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-        """Whether the phrases at positions ``at`` are in a filter."""
+    def inside(self, slots: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+        """Whether the slots of the phrases at positions ``at`` are in a bitmap."""
         out = np.empty(len(at), bool)
         for a in range(0, len(at), LOOKUP):
-            out[a:a + LOOKUP] = held(filter_bits, *self.hashes(at[a:a + LOOKUP], length))
+            slot = slot_of(self.hashes(at[a:a + LOOKUP], length)[1], 8 * len(slots))
+            out[a:a + LOOKUP] = (slots[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
         return out
 
-    def phrases(self, length: int, known: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Positions of one occurrence of each distinct phrase of ``length`` words, and their numbers of occurrences.
+    def places(self, length: int, known: np.ndarray | None) -> np.ndarray:
+        """Positions of all phrases of ``length`` words.
 
         With ``known``, a filter of the frequent phrases of one word less, only phrases whose two parts of that length are in it.
-        Phrases are told apart a share of the first words at a time, so scratch memory is a part of the block.
         """
         n = max(0, len(self.ids) - length + 1)
         ok = self.ids > 0
@@ -178,7 +179,14 @@ class Block:
                 ask = np.flatnonzero(shorter[a:a + LOOKUP]) + a
                 shorter[ask] = held(known, *self.hashes(ask, length - 1))
             fits &= shorter[:n] & shorter[1:]
-        at = np.flatnonzero(fits).astype(np.int32)
+        return np.flatnonzero(fits).astype(np.int32)
+
+    def phrases(self, length: int, known: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Positions of one occurrence of each distinct phrase of ``length`` words (see ``places``), and their numbers of occurrences.
+
+        Phrases are told apart a share of the first words at a time, so scratch memory is a part of the block.
+        """
+        at = self.places(length, known)
         share = (self.ids[at] % SHARES).astype(np.int8)
         for i in range(SHARES):
             some = at[share == i]
@@ -238,31 +246,65 @@ def filter_of(keys: DataFrame, filter_bytes: int):
     return keys.sparkSession.sparkContext.broadcast(exact_dedup.filter_bits(keys.select("key"), bits, "seen"))
 
 
-def local_support(support: int, sizes: np.ndarray, totals: np.ndarray) -> np.ndarray:
-    """The least count that a block's share of ``support`` asks for, by language; one at least."""
-    return np.maximum(1, -(-support * sizes.astype(object) // np.maximum(totals, 1).astype(object))).astype(np.int64)
+def slots_for(words: int) -> int:
+    """A power of two."""
+    return min(max(LEAST_SLOTS, 1 << (words // SLOT_LOAD).bit_length()), MOST_SLOTS)
 
 
-def mined(made: DataFrame, length: int, known, totals: dict[str, int], support: int) -> DataFrame:
-    """The union over all blocks of the phrases that are frequent in one at its lowered support, as keys."""
+def slot_of(low: np.ndarray, slots: int) -> np.ndarray:
+    return (low & np.uint64(slots - 1)).astype(np.int64)
+
+
+def tallied(made: DataFrame, length: int, known, slots: int, support: int) -> DataFrame:
+    """Occurrences of phrases by slot: piece, counts; each task gives out its own table, in pieces. Sums stop at the type's end."""
+    kind, piece = np.uint8 if support < 256 else np.uint32, slots // PIECES
+
     def run(batches):
         common.forget_worker_cache()
+        counts = None
         for row in common.rows_of(batches):
             block = Block(row)
             del row
-            least = local_support(support, block.sizes, np.array([totals[x] for x in block.langs], object))
-            for at, counts in block.phrases(length, known and known.value):
-                at = at[counts >= least[block.lang_of(at)]]
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([keys_of(*block.hashes(at, length))], names=["key"])
+            if counts is None:
+                counts = np.zeros(slots, kind)
+            at = block.places(length, known and known.value)
+            for a in range(0, len(at), LOOKUP):
+                slot, n = np.unique(slot_of(block.hashes(at[a:a + LOOKUP], length)[1], slots), return_counts=True)
+                counts[slot] = np.minimum(counts[slot] + n, np.iinfo(kind).max)
             del block
             common.free_memory()
+        for i in range(PIECES if counts is not None else 0):
+            some = counts[i * piece:(i + 1) * piece]
+            if some.any():
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([some.tobytes()], pa.binary())], names=["piece", "counts"])
+
+    return made.mapInArrow(run, "piece int, counts binary")
 
-    return made.mapInArrow(run, "key binary").distinct()
 
+def full_slots(made: DataFrame, length: int, known, slots: int, support: int):
+    """A broadcast bitmap of the slots with ``support`` occurrences over all blocks."""
+    kind, piece = np.uint8 if support < 256 else np.uint32, slots // PIECES
 
-def counted(made: DataFrame, length: int, known, united) -> DataFrame:
-    """Occurrences in all blocks of the united phrases: lang, phrase, f."""
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for row in common.rows_of(batches):
+            counts = np.frombuffer(row["counts"], kind)
+            had = sums.get(row["piece"])
+            # The greatest number stands for all beyond it.
+            sums[row["piece"]] = counts if had is None else np.where(counts > np.iinfo(kind).max - had, np.iinfo(kind).max, counts + had).astype(kind)
+        for i, counts in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([np.packbits(
+                counts >= support, bitorder="little").tobytes()], pa.binary())], names=["piece", "bits"])
+
+    out = np.zeros(slots // 8, np.uint8)
+    merged = tallied(made, length, known, slots, support).repartition("piece").mapInArrow(add, "piece int, bits binary")
+    for row in merged.toLocalIterator():
+        out[row["piece"] * piece // 8:(row["piece"] + 1) * piece // 8] = np.frombuffer(row["bits"], np.uint8)
+    return made.sparkSession.sparkContext.broadcast(out)
+
+
+def counted(made: DataFrame, length: int, known, full) -> DataFrame:
+    """Occurrences in all blocks of the phrases of full slots: lang, phrase, f."""
     def run(batches):
         common.forget_worker_cache()
         for row in common.rows_of(batches):
@@ -270,7 +312,7 @@ def counted(made: DataFrame, length: int, known, united) -> DataFrame:
             del row
             langs = pa.array(block.langs, pa.string())
             for at, counts in block.phrases(length, known and known.value):
-                keep = block.inside(united.value, at, length)
+                keep = block.inside(full.value, at, length)
                 at, counts = at[keep], counts[keep]
                 if len(at):
                     yield pa.RecordBatch.from_arrays(
@@ -318,13 +360,12 @@ def frequent(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, bl
         raise ValueError(f"phrases of {LONGEST} words at most")
     made = stage(blocks(docs, block_words), "word-blocks")
     by_lang = stage(sizes(made), "words-by-language")
-    # One number a language.
-    totals = {row["lang"]: row["n"] for row in by_lang.collect()}
+    slots = slots_for(by_lang.agg(F.sum("n")).first()[0] or 0)
     found, known = None, None
     for length in range(1, longest + 1):
-        united = filter_of(stage(mined(made, length, known, totals, support), "mined"), filter_bytes)
-        level = stage(counted(made, length, known, united).filter(F.col("f") >= support), "frequent")
-        united.unpersist()
+        full = full_slots(made, length, known, slots, support)
+        level = stage(counted(made, length, known, full).filter(F.col("f") >= support), "frequent")
+        full.unpersist()
         if known is not None:
             known.unpersist()
         rows = level.select("lang", F.lit(length).alias("words"), "phrase", "f")

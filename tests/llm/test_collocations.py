@@ -101,3 +101,20 @@ def test_blocks_are_mined_below_the_support(spark):
 def test_words_and_breaks():
     got = collocations.words_of(pa.array(["A b.\tc", None, "", "x y!"])).to_pylist()
     assert got == [["a", "b", "\n", "c", "\n"], ["\n"], ["\n"], ["x y", "\n", "\n"]]
+
+
+def test_what_leaves_a_task_does_not_grow_with_blocks_or_rare_phrases(spark):
+    """Many blocks of phrases that occur once: a table of slots a task, and next to nothing to count."""
+    rows = [("en", f"w{i} x{i * 7 % 4001} y{i * 11 % 4001}") for i in range(4000)]
+    made = collocations.blocks(spark.createDataFrame(rows, "lang string, text string").repartition(2), 20).cache()
+    assert made.count() > 500
+    slots = collocations.slots_for(12_000)
+    assert collocations.tallied(made, 2, None, slots, 5).count() <= made.rdd.getNumPartitions() * collocations.PIECES
+    assert collocations.counted(made, 2, None, collocations.full_slots(made, 2, None, slots, 5)).count() < 40
+
+
+def test_sums_of_slots_stop_at_the_end(spark):
+    rows = [("en", "a b. " * 300), ("en", "c d. " * 254), ("en", "c d")]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    for support in (255, 256, 300):
+        assert found(collocations.collocations(df, support=support, block_words=100)) == brute(rows, support)
