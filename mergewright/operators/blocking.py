@@ -32,6 +32,10 @@ B2 = BlockingStrategy("b2", ("make", "model", "year", "mileage_bin"), keep_vin=F
 STRATEGIES = {s.name: s for s in (B1, B2)}
 
 
+# Fields that keys are made of.
+KEY_FIELDS = ("make", "model", "year", "mileage")
+
+
 def key_column(key: str, null_block: str = "literal", suffix: str = "") -> Column:
     if key in ("make", "model"):
         return block_text(F.col(key + suffix), null_block)
@@ -47,6 +51,15 @@ def with_block(df: DataFrame, strategy: BlockingStrategy, null_block: str = "lit
     return out.dropna(subset=strategy.columns) if null_block == "drop" else out
 
 
+def counted_keys(df: DataFrame, strategy: BlockingStrategy, null_block: str = "literal") -> DataFrame:
+    """The block columns with ``_rows``: rows are counted by their plain texts first, so a text that repeats is normalised once a task."""
+    plain = [F.col(k) if k in KEY_FIELDS else key_column(k).alias(k) for k in strategy.keys]
+    counts = df.select(*plain).groupBy(*strategy.keys).agg(F.count("*").alias("_rows"))
+    out = counts.select(*[(block_text(F.col(k), null_block) if k in ("make", "model") else F.col(k)).alias(c)
+                          for k, c in zip(strategy.keys, strategy.columns)], "_rows")
+    return out.dropna(subset=strategy.columns) if null_block == "drop" else out
+
+
 def block_label(strategy: BlockingStrategy) -> Column:
     """The block key as text, for display only."""
     return F.concat_ws("|", *[
@@ -69,8 +82,9 @@ def same_keys(left: Sequence[Column], right: Sequence[Column]) -> Column:
 
 
 def block_sizes(df: DataFrame, columns: Sequence[str], name: str, rows: int) -> DataFrame:
-    """Blocks with more than ``rows`` rows of ``df`` and the number of parts each is dealt into."""
-    return (df.groupBy(*columns).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows)
+    """Blocks with more than ``rows`` rows of ``df`` and the number of parts each is dealt into; ``_rows`` counts a row several times."""
+    n = F.sum("_rows") if "_rows" in df.columns else F.count("*")
+    return (df.groupBy(*columns).agg(n.alias("_n")).filter(F.col("_n") > rows)
             .select(*[F.col(c).alias(f"_hot_{c}") for c in columns],
                     F.ceil(F.col("_n") / F.lit(rows)).cast("int").alias(name)))
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from mergewright.functions.text import norm_linker
 from mergewright.operators.blocking import (
+    KEY_FIELDS,
     BlockingStrategy,
+    counted_keys,
     first_per_block,
     join_blocks,
     with_block,
@@ -37,8 +39,12 @@ def pair_columns(strategy: BlockingStrategy) -> list[str]:
     return [f"{c}_{s}" for c in names for s in ("A", "B")]
 
 
+def _order_of(a: DataFrame) -> list[str]:
+    return [c for c in a.columns if c.startswith("_order_A_")]
+
+
 def _order(df: DataFrame) -> list[str]:
-    return [*[c for c in df.columns if c.startswith("_order_A_")], _RANK]
+    return [*_order_of(df), _RANK]
 
 
 def positives(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -68,7 +74,7 @@ def negatives(a: DataFrame, b: DataFrame, strategy: BlockingStrategy,
 
 def matched(a: DataFrame, b: DataFrame) -> DataFrame:
     """The order columns of rows of A that share a VIN with a row of B."""
-    return a.join(b, F.col("vin_A") == F.col("vin_B"), "left_semi").select(*[c for c in a.columns if c.startswith("_order_A_")])
+    return a.join(b, F.col("vin_A") == F.col("vin_B"), "left_semi").select(*_order_of(a))
 
 
 def _blocked(a: DataFrame, b: DataFrame, strategy: BlockingStrategy, k: int, null_block: str, **spread: int) -> DataFrame:
@@ -77,8 +83,7 @@ def _blocked(a: DataFrame, b: DataFrame, strategy: BlockingStrategy, k: int, nul
                           [c for c in b.columns if c.startswith("_order_B_")], k, _RANK)
     ends = top.groupBy(*strategy.columns).agg(F.min("vin_B").alias("_least"), F.max("vin_B").alias("_greatest"))
     met = join_blocks(with_block(a, strategy, null_block, "_A"), ends, strategy.columns, "id_A", **spread)
-    return met.filter((F.col("_least") != F.col("vin_A")) | (F.col("_greatest") != F.col("vin_A"))).select(
-        *[c for c in a.columns if c.startswith("_order_A_")])
+    return met.filter((F.col("_least") != F.col("vin_A")) | (F.col("_greatest") != F.col("vin_A"))).select(*_order_of(a))
 
 
 def up_to(a: DataFrame, order: Sequence[str], paired: DataFrame, n: int) -> DataFrame:
@@ -87,7 +92,11 @@ def up_to(a: DataFrame, order: Sequence[str], paired: DataFrame, n: int) -> Data
     if last is None:
         return a.limit(0)
     bound = F.struct(*[F.lit(v).cast(a.schema[c].dataType).alias(f"_{i}") for i, (c, v) in enumerate(zip(order, last))])
-    return a.filter(F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)]) <= bound)
+    # The first column alone says less, but a scan can be filtered by it.
+    early = F.col(order[0]).isNull()
+    if last[0] is not None:
+        early = early | (F.col(order[0]) <= F.lit(last[0]).cast(a.schema[order[0]].dataType))
+    return a.filter(early & (F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)]) <= bound))
 
 
 def sides(a: DataFrame, b: DataFrame, order_a: Sequence[str] = ("id",),
@@ -109,12 +118,13 @@ def label_pairs(a: DataFrame, b: DataFrame, strategy: BlockingStrategy,
     """
     side_a, side_b = sides(a, b, order_a, order_b)
     if cap is None:
-        counted = with_block(a, strategy, null_block).select(*strategy.columns)
-        parts = [positives(side_a, side_b),
-                 negatives(side_a, side_b, strategy, k, null_block, counted, **spread)]
+        parts = [positives(side_a, side_b), negatives(side_a, side_b, strategy, k, null_block,
+                                                      counted_keys(a, strategy, null_block), **spread)]
     else:
-        met = [matched(side_a, side_b), _blocked(side_a, side_b, strategy, k, null_block, **spread)]
-        first = [sides(up_to(a, order_a, stage(m, "paired"), cap), b, order_a, order_b) for m in met]
+        side_b = stage(side_b, "side-b")
+        keys = stage(side_a.select("id_A", "vin_A", *_order_of(side_a), *[f"{c}_A" for c in MEDIATED.names if c in {*KEY_FIELDS, *strategy.keys} - {"id", "vin"}]), "keys-a")
+        met = [matched(keys, side_b), _blocked(keys, side_b, strategy, k, null_block, **spread)]
+        first = [(_side(up_to(a, order_a, stage(m, "paired"), cap), "A", order_a, "first"), side_b) for m in met]
         parts = [positives(*first[0]), negatives(*first[1], strategy, k, null_block, **spread)]
         parts = [first_rows(stage(p, "uncapped"), _order(p), cap) for p in parts]
     columns = [*pair_columns(strategy), "label"]
