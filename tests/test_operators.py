@@ -574,3 +574,39 @@ def test_model_is_used_again(spark):
         return models.fit_matcher(df, ["x"])
     first = models.weights(models.load_or_fit(spark, path, fit))
     assert models.weights(models.load_or_fit(spark, path, fit)) == first and len(calls) == 1
+
+
+def test_cells_leave_a_task_without_repeats(spark):
+    df = spark.range(5_000, numPartitions=2).select((F.col("id") % 3).alias("few"), F.col("id").cast("string").alias("all"),
+                                                    F.when(F.col("id") < 7, F.lit("x" * 80)).alias("some"))
+    got = profile.cells(df, df.columns, ["few", "some"]).collect()
+    assert len(got) <= 2 * (3 + 2) and sum(r["n"] for r in got) == 10_000
+    assert {r["value"][:1] for r in got if r["i"] == 2 and r["value"]} == {"#"}
+    # Cut anywhere, the counts are the same.
+    small = profile.cells(df, df.columns, df.columns, cell_bytes=1)
+    assert small.agg(F.sum("n")).first()[0] == 15_000
+    assert {r["attribute"]: (r["missing_count"], r["unique_count"]) for r in profile.profile_summary(df).collect()} == {
+        "few": (0, 3), "all": (0, 5_000), "some": (4_993, 1)}
+
+
+def test_capped_pairs_are_formed_for_the_first_rows_only(spark, monkeypatch):
+    """The first pairs of each label, although nearly all rows have one and an order column is missing here and there."""
+    rows = [(f"a{i:03}", "m", "one" if i % 2 else "two", f"{i:017d}", None if i % 50 == 3 else i // 2) for i in range(300)]
+    a = spark.createDataFrame(rows, "id string, make string, model string, vin string, pos long")
+    b = a.withColumn("id", F.replace("id", F.lit("a"), F.lit("b"))).filter("pos % 3 = 0 or pos is null")
+    a, b = (d.select(*[F.col(f.name) if f.name in d.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in MEDIATED.fields], "pos")
+            for d in (a, b))
+    staged = {}
+
+    def kept(df, name):
+        staged[name] = max(staged.get(name, 0), df.count())
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(pairs, "stage", kept)
+    got = pairs.label_pairs(a, b, blocking.B1, ("pos", "id"), ("pos", "id"), cap=9)
+    whole = pairs.label_pairs(a, b, blocking.B1, ("pos", "id"), ("pos", "id"))
+    place = {r[0]: i for i, r in enumerate(sorted(rows, key=lambda r: (r[4] is not None, r[4] or 0, r[0])))}
+    for label in (0, 1):
+        own = sorted(place[r["id_A"]] for r in got.filter(F.col("label") == label).collect())
+        assert own == sorted(place[r["id_A"]] for r in whole.filter(F.col("label") == label).collect())[:9]
+    assert staged["uncapped"] <= 9 * 5
