@@ -157,6 +157,16 @@ def test_plans_have_no_cross_join_and_one_python_step(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_tests_of_pairs_are_not_part_of_the_join(spark):
+    # As conditions of the join, the formula of agreeing keys stood there once for each rule, more code than the JVM compiles.
+    records = candidates.profiles(candidates.with_profile(linker_records(spark, random.Random(4))))
+    rules = tuple(candidates.rules_of(2)[:30])
+    model = models.Matcher(tuple(compare.LINKER_FEATURES), (-1.0,) * len(compare.LINKER_FEATURES), 4.0)
+    for table in (candidates.candidate_pairs(records, rules, *candidates.COMPARED), linkage.scored_candidates(records, model, rules)):
+        joins = [line for line in plan_of(table).splitlines() if "Join" in line]
+        assert joins and not any("CASE" in line or "least(" in line or "Broadcast" in line for line in joins)
+
+
 def test_a_score_bound_drops_no_link(spark):
     """Pairs out of reach are told from numbers and lengths; no pair at the threshold is among them."""
     rng = random.Random(6)
