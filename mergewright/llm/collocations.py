@@ -4,7 +4,7 @@
    the block's vocabulary.
 2. For each length from one word on, each task adds up all occurrences of phrases in one table of slots, by the phrase's hash; the tables of all
    tasks are summed. A phrase with ``support`` occurrences lies in a slot whose sum reaches it; only phrases of such slots are counted, in
-   all blocks, exactly. What leaves a task is one table, whatever the number of blocks and of phrases. A phrase of more
+   all blocks, exactly. What leaves a task is one table, whatever the number of blocks and of phrases; there is a task for each core. A phrase of more
    words is only looked at where both parts that lack its first and its last word are known to be frequent everywhere.
 3. Slots reach the tasks as a bitmap (16 MB at most), frequent phrases as a Bloom filter of bounded size (64 MB at most). Either may let a
    phrase in that is not frequent; it is counted exactly like the others and falls short of the support.
@@ -37,6 +37,8 @@ LOOKUP, SHARES = 1 << 17, 16
 BREAK = "\n"
 #: Occurrences a slot is to hold on average, slots at least and at most, and the pieces in which a table of slots leaves its task.
 SLOT_LOAD, LEAST_SLOTS, MOST_SLOTS, PIECES = 16, 1 << 16, 1 << 27, 64
+#: Rows of counted phrases that a task adds up over its blocks before it gives them out.
+HELD_ROWS = 1 << 18
 
 
 def words_of(texts: pa.Array) -> pa.ListArray:
@@ -127,6 +129,14 @@ def blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
             .mapInArrow(run, "langs array<string>, word_langs binary, hashes binary, words string, ids binary"))
 
 
+def staged_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Blocks, written once, read by a task for each core.
+
+    A table of slots leaves each task and its size grows with the corpus; were there more tasks too, all tables together would grow with its square.
+    """
+    return stage(blocks(docs, block_words), "word-blocks").coalesce(docs.sparkSession.sparkContext.defaultParallelism)
+
+
 class Block:
     """A block read back. ``counted[p]`` tells whether a phrase ending at position p belongs to this block."""
 
@@ -303,10 +313,19 @@ def full_slots(made: DataFrame, length: int, known, slots: int, support: int):
     return made.sparkSession.sparkContext.broadcast(out)
 
 
-def counted(made: DataFrame, length: int, known, full) -> DataFrame:
-    """Occurrences in all blocks of the phrases of full slots: lang, phrase, f."""
+def added_up(parts: list[pa.Table]) -> pa.Table:
+    """One row per language and phrase."""
+    return pa.concat_tables(parts).group_by(["lang", "phrase"]).aggregate([("f", "sum")]).rename_columns({"f_sum": "f"}).select(["lang", "phrase", "f"])
+
+
+def counted_in_tasks(made: DataFrame, length: int, known, full, held_rows: int = HELD_ROWS) -> DataFrame:
+    """Occurrences in a task's blocks of the phrases of full slots: lang, phrase, f.
+
+    A task adds up its blocks, so a phrase leaves it once, not once a block, as long as ``held_rows`` rows hold its phrases.
+    """
     def run(batches):
         common.forget_worker_cache()
+        parts, rows = [], 0
         for row in common.rows_of(batches):
             block = Block(row)
             del row
@@ -315,13 +334,27 @@ def counted(made: DataFrame, length: int, known, full) -> DataFrame:
                 keep = block.inside(full.value, at, length)
                 at, counts = at[keep], counts[keep]
                 if len(at):
-                    yield pa.RecordBatch.from_arrays(
-                        [langs.take(pa.array(block.lang_of(at))), block.texts(at, length).cast(pa.string()),
-                         pa.array(counts.astype(np.int64))], names=["lang", "phrase", "f"])
+                    parts.append(pa.table([langs.take(pa.array(block.lang_of(at))), block.texts(at, length).cast(pa.string()),
+                                           pa.array(counts.astype(np.int64))], names=["lang", "phrase", "f"]))
+                    rows += len(at)
+                if rows > held_rows:
+                    parts = [added_up(parts)]
+                    rows = parts[0].num_rows
+                    # Too many different phrases: adding up each time would take more than it saves.
+                    if rows > held_rows // 2:
+                        yield from parts[0].to_batches()
+                        parts, rows = [], 0
             del block
             common.free_memory()
+        if parts:
+            yield from added_up(parts).to_batches()
+
+    return made.mapInArrow(run, "lang string, phrase string, f long")
 
-    return made.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+
+def counted(made: DataFrame, length: int, known, full) -> DataFrame:
+    """Occurrences in all blocks of the phrases of full slots: lang, phrase, f."""
+    return counted_in_tasks(made, length, known, full).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
 def keyed(level: DataFrame) -> DataFrame:
@@ -358,7 +391,7 @@ def frequent(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, bl
     """(phrases, words): lang, words, phrase, f of all phrases with the support; lang, n."""
     if longest > LONGEST:
         raise ValueError(f"phrases of {LONGEST} words at most")
-    made = stage(blocks(docs, block_words), "word-blocks")
+    made = staged_blocks(docs, block_words)
     by_lang = stage(sizes(made), "words-by-language")
     slots = slots_for(by_lang.agg(F.sum("n")).first()[0] or 0)
     found, known = None, None

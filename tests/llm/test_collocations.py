@@ -113,6 +113,26 @@ def test_what_leaves_a_task_does_not_grow_with_blocks_or_rare_phrases(spark):
     assert collocations.counted(made, 2, None, collocations.full_slots(made, 2, None, slots, 5)).count() < 40
 
 
+def test_a_phrase_leaves_a_task_once_whatever_its_blocks(spark):
+    docs = spark.createDataFrame(texts(docs=60), "lang string, text string")
+    made = collocations.stage(collocations.blocks(docs, 40), "blocks").coalesce(1)
+    assert made.count() > 10
+    full = collocations.full_slots(made, 2, None, collocations.LEAST_SLOTS, 3)
+    whole = collocations.counted(made, 2, None, full)
+    assert collocations.counted_in_tasks(made, 2, None, full).count() == whole.count()
+    # Phrases that do not fit leave it more often, with the same sums.
+    some = collocations.counted_in_tasks(made, 2, None, full, held_rows=8)
+    assert some.count() > whole.count()
+    assert sorted(some.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).collect()) == sorted(whole.collect())
+
+
+def test_tables_of_slots_do_not_grow_in_number(spark):
+    docs = spark.createDataFrame(texts(docs=60), "lang string, text string").repartition(40)
+    cores = spark.sparkContext.defaultParallelism
+    tables = collocations.tallied(collocations.staged_blocks(docs, 40), 1, None, collocations.LEAST_SLOTS, 3)
+    assert tables.groupBy("piece").count().agg(F.max("count")).first()[0] <= cores
+
+
 def test_sums_of_slots_stop_at_the_end(spark):
     rows = [("en", "a b. " * 300), ("en", "c d. " * 254), ("en", "c d")]
     df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
