@@ -4,7 +4,7 @@
    the block's vocabulary.
 2. For each length from one word on, each task adds up all occurrences of phrases in one table of slots, by the phrase's hash; the tables of all
    tasks are summed. A phrase with ``support`` occurrences lies in a slot whose sum reaches it; only phrases of such slots are counted, in
-   all blocks, exactly. What leaves a task is one table, whatever the number of blocks and of phrases; there is a task for each core. A phrase of more
+   all blocks, exactly. What leaves a task is one table, whatever the number of blocks and of phrases; the number of tasks is fixed. A phrase of more
    words is only looked at where both parts that lack its first and its last word are known to be frequent everywhere.
 3. Slots reach the tasks as a bitmap (16 MB at most), frequent phrases as a Bloom filter of bounded size (64 MB at most). Either may let a
    phrase in that is not frequent; it is counted exactly like the others and falls short of the support.
@@ -37,8 +37,10 @@ LOOKUP, SHARES = 1 << 17, 16
 BREAK = "\n"
 #: Occurrences a slot is to hold on average, slots at least and at most, and the pieces in which a table of slots leaves its task.
 SLOT_LOAD, LEAST_SLOTS, MOST_SLOTS, PIECES = 16, 1 << 16, 1 << 27, 64
+#: Tasks that go through the blocks, for each core.
+TASKS_PER_CORE = 4
 #: Rows of counted phrases that a task adds up over its blocks before it gives them out.
-HELD_ROWS = 1 << 18
+HELD_ROWS = 1 << 17
 
 
 def words_of(texts: pa.Array) -> pa.ListArray:
@@ -49,6 +51,16 @@ def words_of(texts: pa.Array) -> pa.ListArray:
     return pc.split_pattern(pc.utf8_trim(pc.replace_substring_regex(closed, r"[\x20\x09]+", " "), " "), " ")
 
 
+def packed(ids: np.ndarray) -> bytes:
+    """Numbers, compressed: a batch of blocks on its way to a task is held several times over."""
+    data = ids.astype(np.int32, copy=False).tobytes()
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd").compress(data, asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(pa.Codec("zstd").decompress(memoryview(data)[8:], int.from_bytes(data[:8], "little")), np.int32)
+
+
 class Filling:
     """A block in the making: word numbers (0: break) and the vocabulary of each language."""
 
@@ -84,7 +96,7 @@ class Filling:
         return pa.RecordBatch.from_arrays([
             pa.array([names], pa.list_(pa.string())), pa.array([own.tobytes()], pa.binary()), pa.array([hashes], pa.binary()),
             pa.array(["\n".join(self.words)], pa.large_string()).cast(pa.string()),
-            pa.array([np.concatenate(self.ids).tobytes()], pa.binary())], schema=schema)
+            pa.array([packed(np.concatenate(self.ids))], pa.binary())], schema=schema)
 
 
 def blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -130,11 +142,12 @@ def blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
 
 def staged_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Blocks, written once, read by a task for each core.
+    """Blocks, written once, read by a fixed number of tasks, ``TASKS_PER_CORE`` for each core.
 
     A table of slots leaves each task and its size grows with the corpus; were there more tasks too, all tables together would grow with its square.
     """
-    return stage(blocks(docs, block_words), "word-blocks").coalesce(docs.sparkSession.sparkContext.defaultParallelism)
+    return stage(blocks(docs, block_words), "word-blocks").coalesce(
+        TASKS_PER_CORE * docs.sparkSession.sparkContext.defaultParallelism)
 
 
 class Block:
@@ -144,7 +157,7 @@ class Block:
         self.langs = row["langs"]
         self.text, self.split = row["words"], None
         self.word_langs = np.frombuffer(row["word_langs"], np.int32)
-        ids = np.frombuffer(row["ids"], np.int32)
+        ids = unpacked(row["ids"])
         # A negative number says how many words before it are the end of the block before: phrases that end in them were counted there.
         mark = np.flatnonzero(ids < 0)
         self.lead = -int(ids[mark[0]]) if len(mark) else 0
@@ -315,7 +328,9 @@ def full_slots(made: DataFrame, length: int, known, slots: int, support: int):
 
 def added_up(parts: list[pa.Table]) -> pa.Table:
     """One row per language and phrase."""
-    return pa.concat_tables(parts).group_by(["lang", "phrase"]).aggregate([("f", "sum")]).rename_columns({"f_sum": "f"}).select(["lang", "phrase", "f"])
+    # Arrow's threads would each hold a table and memory of their own.
+    sums = pa.concat_tables(parts).group_by(["lang", "phrase"], use_threads=False).aggregate([("f", "sum")])
+    return sums.rename_columns({"f_sum": "f"}).select(["lang", "phrase", "f"])
 
 
 def counted_in_tasks(made: DataFrame, length: int, known, full, held_rows: int = HELD_ROWS) -> DataFrame:
@@ -341,11 +356,14 @@ def counted_in_tasks(made: DataFrame, length: int, known, full, held_rows: int =
                     parts = [added_up(parts)]
                     rows = parts[0].num_rows
                     # Too many different phrases: adding up each time would take more than it saves.
-                    if rows > held_rows // 2:
+                    if rows > held_rows * 3 // 4:
                         yield from parts[0].to_batches()
                         parts, rows = [], 0
             del block
             common.free_memory()
+            if len(parts) > 1:
+                parts = [added_up(parts)]
+                rows = parts[0].num_rows
         if parts:
             yield from added_up(parts).to_batches()
 
