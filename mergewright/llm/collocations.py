@@ -51,14 +51,14 @@ def words_of(texts: pa.Array) -> pa.ListArray:
     return pc.split_pattern(pc.utf8_trim(pc.replace_substring_regex(closed, r"[\x20\x09]+", " "), " "), " ")
 
 
-def packed(ids: np.ndarray) -> bytes:
+def packed(ids: np.ndarray, kind: type = np.int32) -> bytes:
     """Numbers, compressed: a batch of blocks on its way to a task is held several times over."""
-    data = ids.astype(np.int32, copy=False).tobytes()
+    data = ids.astype(kind, copy=False).tobytes()
     return len(data).to_bytes(8, "little") + pa.Codec("zstd").compress(data, asbytes=True)
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(pa.Codec("zstd").decompress(memoryview(data)[8:], int.from_bytes(data[:8], "little")), np.int32)
+def unpacked(data: bytes, kind: type = np.int32) -> np.ndarray:
+    return np.frombuffer(pa.Codec("zstd").decompress(memoryview(data)[8:], int.from_bytes(data[:8], "little")), kind)
 
 
 class Filling:
@@ -279,7 +279,10 @@ def slot_of(low: np.ndarray, slots: int) -> np.ndarray:
 
 
 def tallied(made: DataFrame, length: int, known, slots: int, support: int) -> DataFrame:
-    """Occurrences of phrases by slot: piece, counts; each task gives out its own table, in pieces. Sums stop at the type's end."""
+    """Occurrences of phrases by slot: piece, counts (``packed``); each task gives out its own table, in pieces. Sums stop at the type's end.
+
+    Most counts are small: zstd's codes for them take a part of what the shuffle's own compression does.
+    """
     kind, piece = np.uint8 if support < 256 else np.uint32, slots // PIECES
 
     def run(batches):
@@ -299,7 +302,7 @@ def tallied(made: DataFrame, length: int, known, slots: int, support: int) -> Da
         for i in range(PIECES if counts is not None else 0):
             some = counts[i * piece:(i + 1) * piece]
             if some.any():
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([some.tobytes()], pa.binary())], names=["piece", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([packed(some, kind)], pa.binary())], names=["piece", "counts"])
 
     return made.mapInArrow(run, "piece int, counts binary")
 
@@ -311,7 +314,7 @@ def full_slots(made: DataFrame, length: int, known, slots: int, support: int):
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         for row in common.rows_of(batches):
-            counts = np.frombuffer(row["counts"], kind)
+            counts = unpacked(row["counts"], kind)
             had = sums.get(row["piece"])
             # The greatest number stands for all beyond it.
             sums[row["piece"]] = counts if had is None else np.where(counts > np.iinfo(kind).max - had, np.iinfo(kind).max, counts + had).astype(kind)
@@ -321,7 +324,8 @@ def full_slots(made: DataFrame, length: int, known, slots: int, support: int):
 
     out = np.zeros(slots // 8, np.uint8)
     merged = tallied(made, length, known, slots, support).repartition("piece").mapInArrow(add, "piece int, bits binary")
-    for row in merged.toLocalIterator():
+    # At once, 16 MB at most: row by row each partition would be a job of its own.
+    for row in merged.collect():
         out[row["piece"] * piece // 8:(row["piece"] + 1) * piece // 8] = np.frombuffer(row["bits"], np.uint8)
     return made.sparkSession.sparkContext.broadcast(out)
 

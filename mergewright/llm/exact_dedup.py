@@ -116,7 +116,8 @@ def filter_bits(shas: DataFrame, bits: int, which: str = "twice") -> np.ndarray:
     merged = (shas.mapInArrow(fill, kind).repartition("chunk").mapInArrow(merge, kind)
               .select("chunk", F.col(which).alias("bitmap")))
     out = np.zeros(size, np.uint8)
-    for row in merged.toLocalIterator():
+    # At once: row by row each partition would be a job of its own, and merge its chunks after the one before.
+    for row in merged.collect():
         out[row.chunk * chunk:(row.chunk + 1) * chunk] = np.frombuffer(row.bitmap, np.uint8)
     return out
 

@@ -138,3 +138,31 @@ def test_sums_of_slots_stop_at_the_end(spark):
     df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
     for support in (255, 256, 300):
         assert found(collocations.collocations(df, support=support, block_words=100)) == brute(rows, support)
+
+
+def test_jobs_do_not_grow_with_partitions(spark):
+    """Bitmaps reach the driver by one job, not by one for each partition of a shuffle."""
+    df = spark.createDataFrame([("en", "a b c. " * 8)] * 3, "lang string, text string")
+    made = collocations.staged_blocks(df, 40)
+    keys = spark.range(1000).selectExpr("unhex(md5(string(id))) as key")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    context = spark.sparkContext
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        context.setJobGroup("bitmaps", "bitmaps")
+        collocations.full_slots(made, 2, None, collocations.LEAST_SLOTS, 3)
+        collocations.filter_of(keys, 1 << 16)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert 0 < len(context.statusTracker().getJobIdsForGroup("bitmaps")) < 12
+
+
+def test_tables_of_small_counts_leave_compressed(spark):
+    rows = [("en", " ".join(f"w{(i * 7919 + k * k) % 50021}" for k in range(2000))) for i in range(10)]
+    made = collocations.staged_blocks(spark.createDataFrame(rows, "lang string, text string").coalesce(1))
+    tables = collocations.tallied(made, 2, None, collocations.LEAST_SLOTS, 100)
+    sizes = tables.selectExpr("sum(length(counts))").first()[0]
+    assert sizes < collocations.LEAST_SLOTS // 2
