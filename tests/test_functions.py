@@ -205,3 +205,23 @@ def test_plain_and_other_texts_are_normalised_alike(spark):
         kept = re.sub(f"[^a-z0-9{space}]", "", ("nan" if text is None else text).lower())
         assert row["t"] == re.sub(f"[{space}]+", " ", kept).strip(" ")
         assert row["v"] == (None if text is None else re.sub("[^A-Za-z0-9]", "", text).upper())
+
+
+def test_scored_texts_are_kept_from_batch_to_batch():
+    import pyarrow as pa
+
+    from mergewright.functions.batches import scored_texts
+    calls, kept = [], {}
+
+    def score(left, right):
+        calls.append(len(left))
+        return affine_gap_arrays(left, right)
+
+    texts = ["abc", None, "", "é ü", "abd", "abc", "x" * 120]
+    left, right = [a for a in texts for _ in texts], texts * len(texts)
+    for _ in range(2):
+        got = scored_texts(pa.array(left), pa.array(right), score, kept)
+        for a, b, far in zip(left, right, got):
+            assert math.isnan(far) if a is None or b is None else far == pytest.approx(affine_gap_arrays([a], [b])[0])
+    # The second time only pairs with the long text, which are not kept.
+    assert len(kept) == 16 and sum(calls) == 25 + 9

@@ -354,6 +354,47 @@ def test_large_components_are_halved(spark):
     assert len(got) == len(set(got)) and set(got) == greedy(rows)
 
 
+def test_pairs_formed_anew_are_settled_by_their_best(spark, monkeypatch):
+    """Only the best pairs of each id are written; what they leave open is formed again. Copies count."""
+    rng, best = random.Random(21), 2
+    score = {(f"a{rng.randrange(40)}", f"b{rng.randrange(20)}"): rng.choice([0.6, 0.6, rng.random() / 2 + 0.5]) for _ in range(700)}
+    copies = {i: rng.choice([1, 1, 1, 3]) for pair in sorted(score) for i in pair}
+    df = spark.createDataFrame([(a, b, s, copies[a], copies[b]) for (a, b), s in score.items()],
+                               "id_A string, id_B string, score double, copies_A long, copies_B long")
+    written = []
+    plain = assign.stage
+    monkeypatch.setattr(assign, "stage", lambda d, name: written.append((name, plain(d, name))) or written[-1][1])
+
+    def without(a, b):
+        return df.join(a.withColumnRenamed("id", "id_A"), "id_A", "left_anti").join(b.withColumnRenamed("id", "id_B"), "id_B", "left_anti")
+
+    left, expected = dict(copies), Counter()
+    for a, b in sorted(score, key=lambda k: (score[k], md5(*k)), reverse=True):
+        if n := min(left[a], left[b]):
+            expected[a, b] = n
+            left[a] -= n
+            left[b] -= n
+    for limit in (500_000, 100):
+        got = assign.assign(df, settled_in_task=limit, without=without, best=best).collect()
+        assert Counter({(r["id_A"], r["id_B"]): r["take"] for r in got}) == expected and len(got) == len(expected)
+        runs = Counter()
+        for r in got:
+            for i, start in ((r["id_A"], r["from_A"]), (r["id_B"], r["from_B"])):
+                runs.update((i, start + n) for n in range(r["take"]))
+        assert max(runs.values()) == 1
+    assert next(d for name, d in written if name == "open-pairs").count() <= best * len(copies)
+
+
+def test_tasks_keep_the_best_of_either_side(spark):
+    rows = [(f"a{i}", f"b{j}", (i * 7 + j * 11) % 50 / 50) for i in range(40) for j in range(40)]
+    df = assign.with_tie(spark.createDataFrame(rows, "id_A string, id_B string, score double")).coalesce(1)
+    for at_once in (100, 10_000):
+        kept = {(r["id_A"], r["id_B"]) for r in assign.best_in_tasks(df, 2, at_once).collect()}
+        order = sorted(rows, key=lambda r: (r[2], md5(r[0], r[1])), reverse=True)
+        best = {r[:2] for side in (0, 1) for i in {r[side] for r in rows} for r in [r for r in order if r[side] == i][:2]}
+        assert best <= kept and (at_once == 100 or kept == best)
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(500)]
     star = [(1000, 1000 + i) for i in range(1, 200)] + [(1100, 1000), (7000, 7000)]

@@ -186,6 +186,12 @@ def test_a_score_bound_drops_no_link(spark):
         assert 0 < scored.filter("not can").count() < 400
 
 
+def test_the_bound_of_a_pair_is_little_code(spark):
+    # A method of more than 8,000 bytes is interpreted, which took three times as long as the join itself.
+    model = models.Matcher(tuple(compare.LINKER_FEATURES), (-1.0,) * len(compare.LINKER_FEATURES), 4.0)
+    assert str(linkage.can_reach(model)).count("length(") <= 80
+
+
 def test_pairs_of_blocks_are_formed_by_a_fixed_number_of_tasks(spark):
     # Few bytes make many pairs: left to bytes, adaptive execution gives them all to one task or two.
     many = spark.range(4000).selectExpr("concat('a', id) as id_A", "cast(id % 97 as string) as block_make", "if(id % 5 = 0, null, id % 5) as block_year")
