@@ -48,6 +48,22 @@ def test_splits_on_disk(spark, splits):
     assert re.search(r"PartitionFilters: \[[^\]]*strategy", scan) and "ReadSchema: struct<id_A:string>" in scan
 
 
+def test_pairs_are_written_once_by_split(spark, monkeypatch):
+    """Rows are chosen by VIN once for all strategies; besides the splits only ids and labels of pairs are written."""
+    a, b = cars(spark, random.Random(3), 60)
+    written, plain = [], labelling.stage
+    monkeypatch.setattr(labelling, "stage", lambda df, name: written.append((name, df.columns)) or plain(df, name))
+    path = new_path(spark, "splits")
+    labelling.prepare_splits(a, b, path)
+    assert [name for name, _ in written] == ["side", "side", "keys-b1", "keys-b2"]
+    assert all(columns == ["id_A", "id_B", "label"] for name, columns in written if name.startswith("keys"))
+    for strategy in (blocking.B1, blocking.B2):
+        # As when the pairs themselves are written and split.
+        whole = labelling.split_stratified(staging.stage(pairs.label_pairs(a, b, strategy), "whole"))
+        got = spark.read.parquet(path).filter(F.col("strategy") == strategy.name).select(whole.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_capped_splits_on_text_ids(spark):
     a, b = cars(spark, random.Random(1))
     path = new_path(spark, "splits")

@@ -145,3 +145,17 @@ def test_counts_come_with_the_writing(spark):
     want = {(r["split"], r["label"]): (r["n"], r["bare"]) for r in spark.read.parquet(path).groupBy("split", "label").agg(
         F.count("*").alias("n"), F.count_if(F.col("price_A").isNull()).alias("bare")).collect()}
     assert {(s, k): (n, b) for s, k, n, b in got} == want
+
+
+def test_large_files_are_not_dealt_out(spark, tmp_path):
+    from mergewright.sources import spread
+    path = str(tmp_path / "one")
+    spark.range(40_000).repartition(1).write.option("parquet.block.size", 16_384).parquet(path)
+    assert "Exchange" in spread(spark.read.parquet(path), "id")._jdf.queryExecution().executedPlan().toString()
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        kept = spread(spark.read.parquet(path), "id")
+        assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString() and kept.count() == 40_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
